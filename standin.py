@@ -35,7 +35,7 @@ def _days(column: str):
 
 
 def _day_text(column: str):
-    return F.date_format(F.col(column), "yyyyMMdd")
+    return F.replace(F.col(column).cast("date").cast("string"), F.lit("-"), F.lit(""))
 
 
 def raw_arrivals(
@@ -100,10 +100,11 @@ def raw_arrivals(
     df = table(spark, sf_dir, "lineitem")
     if {*of_orders, *of_customer} & set(columns):
         orders = table(spark, sf_dir, "orders")
+        if set(of_customer) & set(columns):
+            # before the line items come in, which then move once, not twice
+            customer = table(spark, sf_dir, "customer")
+            orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
-    if set(of_customer) & set(columns):
-        customer = table(spark, sf_dir, "customer")
-        df = df.join(customer, df.o_custkey == customer.c_custkey, "left")
     if set(of_part) & set(columns):
         part = table(spark, sf_dir, "part")
         df = df.join(part, df.l_partkey == part.p_partkey, "left")

@@ -104,16 +104,21 @@ def column_profile(
     """
     columns = list(columns or df.columns)
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    # Nulls for NaN once, below the aggregation and not in each aggregate.
+    df = df.select(
+        *[F.when(~is_missing(df, c), F.col(f"`{c}`").cast("double")).alias(c) for c in numeric],
+        *[F.col(f"`{c}`").cast("string").alias(c) for c in columns if c not in numeric],
+    )
     structs = []
     for c in columns:
-        present = F.when(~is_missing(df, c), F.col(f"`{c}`"))
-        number = present.cast("double") if c in numeric else F.lit(None).cast("double")
-        text = F.lit(None).cast("string") if c in numeric else present.cast("string")
+        column = F.col(f"`{c}`")
+        number = column if c in numeric else F.lit(None).cast("double")
+        text = F.lit(None).cast("string") if c in numeric else column
         sketch = F.percentile_approx(number, list(QUARTILES.values()), accuracy)
         fields = {
             "column": F.lit(c),
             "n_rows": F.count(F.lit(1)),
-            "n_values": F.count(present),
+            "n_values": F.count(column),
             "mean": F.avg(number),
             "stddev": F.stddev(number),
             "min": F.min(number),

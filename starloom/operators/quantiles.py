@@ -9,62 +9,113 @@ from pyspark.sql import functions as F
 
 from starloom.scratch import settle
 
+# Distinct values that one task may search through in the last step.
+SLICE_ROWS = 1_000_000
+
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], quantiles: Mapping[str, float]
+    df: DataFrame,
+    columns: Sequence[str],
+    quantiles: Mapping[str, float],
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """One row per column, one result column per named quantile.
 
     The quantile ``p`` of ``n`` values is the value of rank ``ceil(p * n)``.
-    Values are counted (so a frequent one is one row), range partitioned, and
-    only the slices that hold a wanted rank are searched.
+    Values are counted, so a frequent one is one row, and range partitioned
+    into slices. Only slices that hold a wanted rank are kept, and sliced again
+    while one of them has more than ``slice_rows`` values.
     """
+    spark = df.sparkSession
+    n_slices = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    counted = (
+    rows = (
         values.unpivot([], list(columns), "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("part", F.lit(0))
     )
-    # Written, because range bounds are sampled and may differ if recomputed.
-    sliced = settle(
-        counted.repartitionByRange("column", "value").withColumn("slice", F.spark_partition_id())
-    )
+    targets, parts, largest = None, 1, None
+    while True:
+        # Written, because range bounds are sampled and may differ if recomputed.
+        rows = settle(
+            rows.repartitionByRange(n_slices * parts, "column", "part", "value").withColumn(
+                "slice", F.spark_partition_id()
+            )
+        )
+        slices = _slices(rows)
+        if targets is None:
+            targets = _first_targets(slices, quantiles)
+        found = (
+            slices.join(targets, ["column", "part"])
+            .where(
+                (F.col("rank") > F.col("before"))
+                & (F.col("rank") <= F.col("before") + F.col("slice_n"))
+            )
+            .select(
+                "column",
+                "quantile",
+                F.col("slice").alias("part"),
+                (F.col("rank") - F.col("before")).alias("rank"),
+                "slice_values",
+            )
+            .collect()  # one row per column and quantile
+        )
+        if not found:
+            return spark.createDataFrame([], _schema(quantiles))
+        targets = spark.createDataFrame(
+            [(r["column"], r["quantile"], r["part"], r["rank"]) for r in found],
+            "column string, quantile string, part int, rank long",
+        )
+        kept = F.broadcast(targets.select("column", F.col("part").alias("slice")).distinct())
+        rows = rows.join(kept, ["column", "slice"]).select(
+            "column", "value", "n", F.col("slice").alias("part")
+        )
+        before, largest = largest, max(r["slice_values"] for r in found)
+        if largest <= slice_rows or largest == before:
+            break
+        # several slices for each part, or they would not get smaller
+        parts = len({(r["column"], r["part"]) for r in found})
+    return _values_at(rows, targets, quantiles)
 
-    # One row per column and slice: no more than there are shuffle partitions.
-    in_order = Window.partitionBy("column").orderBy("slice")
-    whole = Window.partitionBy("column")
-    slices = sliced.groupBy("column", "slice").agg(F.sum("n").alias("slice_n"))
-    slices = slices.select(
-        "column",
-        "slice",
-        "slice_n",
-        (F.sum("slice_n").over(in_order) - F.col("slice_n")).alias("before"),
-        F.sum("slice_n").over(whole).alias("total"),
+
+def _slices(rows: DataFrame) -> DataFrame:
+    """Row counts before and in each slice: no more rows than there are slices."""
+    in_order = Window.partitionBy("column", "part").orderBy("slice")
+    whole = Window.partitionBy("column", "part")
+    slices = rows.groupBy("column", "part", "slice").agg(
+        F.sum("n").alias("slice_n"), F.count(F.lit(1)).alias("slice_values")
     )
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("quantile"), F.lit(p).alias("p"))
-                for name, p in quantiles.items()
-            ]
-        )
+    return slices.withColumns(
+        {
+            "before": F.sum("slice_n").over(in_order) - F.col("slice_n"),
+            "total": F.sum("slice_n").over(whole),
+        }
     )
-    rank = F.greatest(F.ceil(F.col("wanted.p") * F.col("total")), F.lit(1))
-    targets = (
-        slices.withColumn("wanted", wanted)
-        .withColumn("rank", rank)
-        .where(
-            (F.col("rank") > F.col("before"))
-            & (F.col("rank") <= F.col("before") + F.col("slice_n"))
-        )
-        .select("column", "slice", "before", "rank", F.col("wanted.quantile").alias("quantile"))
+
+
+def _first_targets(slices: DataFrame, quantiles: Mapping[str, float]) -> DataFrame:
+    """The wanted ranks: (column, part, quantile, rank)."""
+    wanted = F.array(
+        *[
+            F.struct(F.lit(name).alias("quantile"), F.lit(p).alias("p"))
+            for name, p in quantiles.items()
+        ]
     )
+    totals = slices.select("column", "part", "total").distinct()
+    return totals.select("*", F.inline(wanted)).select(
+        "column",
+        "part",
+        "quantile",
+        F.greatest(F.ceil(F.col("p") * F.col("total")), F.lit(1)).alias("rank"),
+    )
+
 
-    # One target per column and quantile: small whatever the data.
-    candidates = sliced.join(F.broadcast(targets), ["column", "slice"])
+def _values_at(rows: DataFrame, targets: DataFrame, quantiles: Mapping[str, float]) -> DataFrame:
+    candidates = rows.join(F.broadcast(targets), ["column", "part"])
     running = Window.partitionBy("column", "quantile").orderBy("value")
-    reached = F.col("before") + F.sum("n").over(running) >= F.col("rank")
+    reached = F.sum("n").over(running) >= F.col("rank")
     found = candidates.select("column", "quantile", F.when(reached, F.col("value")).alias("value"))
     return found.groupBy("column").agg(
         *[
@@ -72,3 +123,7 @@ def exact_quantiles(
             for name in quantiles
         ]
     )
+
+
+def _schema(quantiles: Mapping[str, float]) -> str:
+    return ", ".join(["column string", *[f"`{name}` double" for name in quantiles]])

@@ -1,0 +1,65 @@
+"""Hand-made rows of the five sources."""
+
+from starloom.plans.arrivals import (
+    AIRPORTS_SCHEMA,
+    ARRIVALS_SCHEMA,
+    CODES_SCHEMA,
+    DEMOGRAPHICS_SCHEMA,
+    TEMPERATURES_SCHEMA,
+)
+
+NAN = float("nan")
+
+
+def frame(spark, schema, rows):
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in schema.items())
+    return spark.createDataFrame([[row.get(c) for c in schema] for row in rows], ddl)
+
+
+def arrivals(spark, rows):
+    return frame(spark, ARRIVALS_SCHEMA, rows)
+
+
+def demographics(spark, rows):
+    return frame(spark, DEMOGRAPHICS_SCHEMA, rows)
+
+
+def temperatures(spark, rows):
+    from datetime import date
+
+    return frame(
+        spark,
+        TEMPERATURES_SCHEMA,
+        [r | {"dt": date.fromisoformat(r.get("dt", "2000-01-01"))} for r in rows],
+    )
+
+
+def airports(spark, rows):
+    return frame(spark, AIRPORTS_SCHEMA, rows)
+
+
+def codes(spark, rows):
+    return frame(spark, CODES_SCHEMA, rows)
+
+
+def city(state, name, race, count, **more):
+    values = {
+        "State Code": state,
+        "State": f"State {state}",
+        "City": name,
+        "Race": race,
+        "Count": count,
+        "Median Age": 30.0,
+        "Male Population": 10.0,
+        "Female Population": 12.0,
+        "Total Population": 22,
+        "Number of Veterans": 1.0,
+        "Foreign-born": 2.0,
+        "Average Household Size": 2.5,
+    }
+    return values | more
+
+
+def tuples(df, *columns):
+    rows = df.select(*[f"`{c}`" for c in columns] or ["*"]).collect()
+    return sorted((tuple(r) for r in rows), key=repr)

@@ -1,0 +1,138 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rows import NAN, tuples
+from starloom.operators import (
+    average_numeric,
+    column_profile,
+    count_where,
+    distinct_counts,
+    distinct_values,
+    duplicate_count,
+    exact_quantiles,
+    key_sets,
+    key_uniqueness,
+    null_percent,
+    pivot_average,
+    rows_at_max,
+    top_n,
+)
+
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
+def brute_force(values, p):
+    values = sorted(values)
+    return values[max(math.ceil(p * len(values)), 1) - 1]
+
+
+def test_null_percent_counts_nan(spark):
+    df = spark.createDataFrame([(1.0, "a"), (NAN, None), (None, "b"), (2.0, "c")], "x double, y string")
+    assert tuples(null_percent(df)) == [("x", 50.0), ("y", 25.0)]
+
+
+def test_count_where_is_one_pass(spark):
+    df = spark.createDataFrame([(1,), (5,), (None,)], "x int")
+    assert tuples(count_where(df, {"small": F.col("x") < 3, "null": F.col("x").isNull()})) == [
+        ("null", 1), ("small", 1),
+    ]
+
+
+def test_rows_at_max_keeps_ties(spark):
+    df = spark.createDataFrame([(1, "a"), (3, "b"), (3, "c"), (None, "d")], "x int, y string")
+    assert tuples(rows_at_max(df, "x"), "y") == [("b",), ("c",)]
+
+
+def test_rows_at_max_has_no_cross_join(spark):
+    df = spark.range(10).toDF("x")
+    plan = rows_at_max(df, "x")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_distinct_counts_take_null_for_a_value(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "x string")
+    assert tuples(distinct_counts(df, ["x"])) == [("x", 3)]
+    assert tuples(distinct_counts(df, ["x"], relative_error=0.05)) == [("x", 3)]
+    assert tuples(distinct_values(df, "x")) == [("a",), ("b",), (None,)]
+
+
+def test_keys(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1)], "a int, b int")
+    assert tuples(duplicate_count(df, ["a", "b"])) == [(2,)]
+    assert tuples(key_uniqueness(df, ["a", "b"])) == [(5, 3, False)]
+    assert tuples(key_uniqueness(df.distinct(), ["a", "b"])) == [(3, 3, True)]
+    assert tuples(duplicate_count(df.limit(0), ["a"])) == [(0,)]
+
+
+def test_top_n(spark):
+    df = spark.range(100).toDF("x")
+    assert [r.x for r in top_n(df, [F.col("x").desc()], 3).collect()] == [99, 98, 97]
+
+
+def test_average_numeric_skips_text(spark):
+    df = spark.createDataFrame([("a", 1, "t"), ("a", 3, "u")], "k string, v int, t string")
+    averaged = average_numeric(df, ["k"])
+    assert averaged.columns == ["k", "v"]
+    assert tuples(averaged) == [("a", 2.0)]
+
+
+def test_pivot_average_with_and_without_fill(spark):
+    df = spark.createDataFrame(
+        [("c", "W", 60, 1.0), ("c", "A", 10, 3.0)], "k string, r string, n int, m double"
+    )
+    spec = dict(
+        keys=["k"], pivot="r", value="n", values={"w": "W", "a": "A", "none": "N"}, measures={"mean": "m"}
+    )
+    assert tuples(pivot_average(df, **spec)) == [("c", 2.0, 30.0, 5.0, 0.0)]
+    assert tuples(pivot_average(df, **spec, zero_fill=False)) == [("c", 2.0, 60.0, 10.0, None)]
+
+
+def test_key_sets_tell_real_nulls_from_filled_ones(spark):
+    df = spark.createDataFrame([(1, None, "x"), (None, "p", "x"), (1, "p", "y")], "a int, b string, c string")
+    table, picks = key_sets(df, {"first": ["a"], "rest": ["b", "c"]})
+    assert tuples(table.where(picks["first"]), "a") == [(1,), (None,)]
+    assert tuples(table.where(picks["rest"]), "b", "c") == [("p", "x"), ("p", "y"), (None, "x")]
+
+
+def test_exact_quantiles_against_brute_force(spark):
+    rng = random.Random(7)
+    rows = [
+        (rng.gauss(0, 1), float(rng.randint(0, 3)), 1.0 if rng.random() < 0.4 else rng.random())
+        for _ in range(5_000)
+    ]
+    df = spark.createDataFrame(rows, "smooth double, few double, hot double").repartition(4)
+    for slice_rows in (1_000_000, 20):
+        found = {r["column"]: r for r in exact_quantiles(df, df.columns, QUARTILES, slice_rows).collect()}
+        for i, column in enumerate(df.columns):
+            for name, p in QUARTILES.items():
+                assert found[column][name] == brute_force([r[i] for r in rows], p)
+
+
+def test_exact_quantiles_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (NAN, 2.0)], "empty double, two double")
+    assert tuples(exact_quantiles(df, ["empty", "two"], QUARTILES)) == [("two", 1.0, 1.0, 2.0)]
+    assert exact_quantiles(df, ["empty"], QUARTILES).count() == 0
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_column_profile(spark, exact):
+    rows = [(1.0, "b", 4), (3.0, "a", 2), (NAN, None, 6), (None, "c", 8)]
+    df = spark.createDataFrame(rows, "x double, y string, n int")
+    profile = {r["column"]: r for r in column_profile(df, exact=exact).collect()}
+    x, y, n = profile["x"], profile["y"], profile["n"]
+    assert (x.n_rows, x.n_values, x["mean"], x["min"], x["q25"], x["q75"], x["max"]) == (
+        4, 2, 2.0, 1.0, 1.0, 3.0, 3.0,
+    )
+    assert (y.n_values, y["mean"], y.min_text, y.max_text) == (3, None, "a", "c")
+    assert (n["q25"], n["q50"], n["q75"], n.min_text) == (2.0, 4.0, 6.0, None)
+    assert x.stddev == pytest.approx(math.sqrt(2))
+
+
+def test_sketched_quartiles_are_within_their_error(spark):
+    df = spark.range(100_000).select(F.col("id").cast("double").alias("x"))
+    profile = column_profile(df, accuracy=1_000).first()
+    for name, p in QUARTILES.items():
+        assert abs(profile[name] - p * 100_000) <= 100_000 / 1_000 + 1
