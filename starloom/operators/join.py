@@ -58,6 +58,12 @@ def missing_keys(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
     )
     known = None
     for name, (dim, key) in dims.items():
-        part = dim.select(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key"))
+        part = dim.select(
+            F.lit(name).alias("dimension"),
+            F.col(key).cast("string").alias("key"),
+            F.lit(True).alias("known"),
+        )
         known = part if known is None else known.unionByName(part)
-    return used.join(known, ["dimension", "key"], "left_anti")
+    # Not an anti join: Spark would move that below the count, to the fact rows.
+    joined = used.join(known, ["dimension", "key"], "left")
+    return joined.where(F.col("known").isNull()).drop("known")

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from starloom.operators.clean import clean, require_columns
 from starloom.specs import SourceSpec
@@ -49,9 +48,7 @@ def _read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     require_columns(as_text, spec.schema, f"source {spec.path}")
     # The declared types in the file's own column order, so that no inference
     # pass is needed. A file whose header differs fails instead of shifting.
-    schema = T.StructType()
-    for name in as_text.columns:
-        schema.add(name, spec.schema.get(name, "string"))
+    schema = ", ".join(f"`{c}` {spec.schema.get(c, 'string')}" for c in as_text.columns)
     return spark.read.csv(
         spec.path, schema=schema, header=True, sep=spec.sep, enforceSchema=False
     )
