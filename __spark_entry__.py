@@ -22,7 +22,7 @@ from starloom.functions import is_blank, iso_date, outside, parse_date  # noqa:
 from starloom.plans import analyses, dimensions  # noqa: E402
 from starloom.plans import star as star_plan  # noqa: E402
 from starloom.plans.arrivals import MEASURES, SINKS  # noqa: E402
-from starloom.scratch import scratch_folder  # noqa: E402
+from starloom.scratch import scratch_folder, settle  # noqa: E402
 from starloom.sources import read_source, write_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -59,6 +59,7 @@ def _source(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star_inputs(spark: SparkSession, sf_dir: str, *dims: str, more: tuple[str, ...] = ()):
+    """What some dimensions, and a fact of their columns and ``more``, are built from."""
     columns = dict.fromkeys([c for d in dims for c in KEY_COLUMNS[d]] + list(more))
     inputs = {"arrivals": _arrivals(spark, sf_dir, *columns)}
     needed = {
@@ -83,15 +84,28 @@ def _dimension(name: str, spec: StarSpec = STAR):
 def _fact_and(dim: str, spec: StarSpec, spark: SparkSession, sf_dir: str, *more: str):
     """One dimension, and a fact of the columns that belong to it."""
     inputs = _star_inputs(spark, sf_dir, dim, more=more)
-    arrivals = inputs["arrivals"]
-    dates = {c: iso_date(F.col(c)) for c in spec.date_columns if c in arrivals.columns}
-    renames = {a: b for a, b in spec.renames.items() if a in arrivals.columns}
+    # Dimension and fact both read the arrivals: join their few columns once.
+    inputs["arrivals"] = settle(inputs["arrivals"])
     return {
         dim: star_plan.dimension(dim, inputs, spec),
-        "fact": arrivals.withColumns(dates).withColumnsRenamed(renames),
+        "fact": _fact(inputs["arrivals"], spec),
     }
 
 
+def _fact(arrivals: DataFrame, spec: StarSpec) -> DataFrame:
+    """The fact table of those of its columns that ``arrivals`` has."""
+    dates = {c: iso_date(F.col(c)) for c in spec.date_columns if c in arrivals.columns}
+    renames = {a: b for a, b in spec.renames.items() if a in arrivals.columns}
+    return arrivals.withColumns(dates).withColumnsRenamed(renames)
+
+
+def _star(spark: SparkSession, sf_dir: str, spec: StarSpec, *more: str) -> dict[str, DataFrame]:
+    """All dimensions, and a fact of their columns and ``more``."""
+    inputs = _star_inputs(spark, sf_dir, *KEY_COLUMNS, more=("depdate", *more))
+    inputs["arrivals"] = settle(inputs["arrivals"])
+    return star_plan.build_star(inputs, spec)
+
+
 # --- sources and sinks ----------------------------------------------------
 
 
@@ -290,7 +304,7 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = star_plan.build_star(standin.sources(spark, sf_dir), UNIQUE)
+    star = _star(spark, sf_dir, UNIQUE, "cicid", "airline")
     joined = star_plan.star_join(star, UNIQUE)
     return _rounded(
         joined.select(
@@ -302,13 +316,11 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_plan.star_counts(star_plan.build_star(standin.sources(spark, sf_dir), STAR))
+    return star_plan.star_counts(_star(spark, sf_dir, STAR))
 
 
 def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_plan.audit_keys(
-        star_plan.build_star(standin.sources(spark, sf_dir), STAR), STAR
-    )
+    return star_plan.audit_keys(_star(spark, sf_dir, STAR), STAR)
 
 
 def arrivals_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:

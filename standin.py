@@ -9,6 +9,7 @@ demographics, suppliers for the temperatures, parts for the airports.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,10 @@ RACE_OF_SEGMENT = {
 }
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables. They never change, so their files are listed
+    and their schema is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -110,8 +114,8 @@ def raw_arrivals(
         df = df.join(part, df.l_partkey == part.p_partkey, "left")
     if set(of_supplier) & set(columns):
         supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-        states = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "left")
-        df = df.join(states, df.l_suppkey == states.s_suppkey, "left")
+        df = df.join(supplier, df.l_suppkey == supplier.s_suppkey, "left")
+        df = df.join(nation, df.s_nationkey == nation.n_nationkey, "left")
     expressions = of_lineitem | of_orders | of_customer | of_part | of_supplier
     return df.select(*[expressions[c].alias(c) for c in columns])
 

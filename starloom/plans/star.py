@@ -19,7 +19,7 @@ from starloom.plans.dimensions import (
     keys_of,
     keys_of_all,
 )
-from starloom.scratch import settle
+from starloom.scratch import settle, settle_all
 from starloom.sources import FORMATS, format_of, load_sources, write_table
 from starloom.specs import RunSpec, SinkSpec, StarSpec
 
@@ -58,9 +58,7 @@ def build_star(sources: Mapping[str, DataFrame], spec: StarSpec) -> dict[str, Da
     knows their size.
     """
     keys = keys_of_all(sources["arrivals"], spec)
-    star = {
-        name: settle(build_dimension(name, keys[name], sources, spec)) for name in keys
-    }
+    star = settle_all({name: build_dimension(name, keys[name], sources, spec) for name in keys})
     star["fact"] = fact_table(sources["arrivals"], spec)
     return star
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,3 +39,13 @@ def settle(df: DataFrame) -> DataFrame:
     path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``settle`` for several small frames, as concurrent jobs."""
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    with ThreadPoolExecutor(len(frames)) as pool:
+        settled = pool.map(inheritable_thread_target(spark)(settle), frames.values())
+        return dict(zip(frames, settled, strict=True))
