@@ -305,13 +305,11 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _star(spark, sf_dir, UNIQUE, "cicid", "airline")
-    joined = star_plan.star_join(star, UNIQUE)
-    return _rounded(
-        joined.select(
-            "cicid", "arrival_date", "weekday", "country_code", "country", "temperature_avg",
-            "arrival_port", "ident", "municipality", "state_code", "State", "MedianAgeAvg",
-            "RaceCountWhiteAvg", "i94mode", "airline",
-        )
+    rounded = {name: _rounded(star[name]) for name in ("country", "demographics")}
+    return star_plan.star_join(star | rounded, UNIQUE).select(
+        "cicid", "arrival_date", "weekday", "country_code", "country", "temperature_avg",
+        "arrival_port", "ident", "municipality", "state_code", "State", "MedianAgeAvg",
+        "RaceCountWhiteAvg", "i94mode", "airline",
     )
 
 
