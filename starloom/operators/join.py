@@ -37,6 +37,10 @@ def attach_dimension(
     if size.rows <= broadcast_rows:
         dim = F.broadcast(dim)
     attributes = [c for c in dim.columns if c != key]
+    taken = {c.lower() for c in fact.columns}
+    twice = [c for c in attributes if c.lower() in taken]
+    if twice:
+        raise ValueError(f"dimension of {key}: the fact has column {', '.join(twice)} already")
     return fact.join(dim, key, "left").select(*fact.columns, *attributes)
 
 

@@ -40,9 +40,9 @@ def exact_quantiles(
     while True:
         # Written, because range bounds are sampled and may differ if recomputed.
         rows = settle(
-            rows.repartitionByRange(n_slices * parts, "column", "part", "value").withColumn(
-                "slice", F.spark_partition_id()
-            )
+            rows.repartitionByRange(
+                max(n_slices, 4 * parts), "column", "part", "value"
+            ).withColumn("slice", F.spark_partition_id())
         )
         slices = _slices(rows)
         if targets is None:
@@ -75,7 +75,7 @@ def exact_quantiles(
         before, largest = largest, max(r["slice_values"] for r in found)
         if largest <= slice_rows or largest == before:
             break
-        # several slices for each part, or they would not get smaller
+        # at least some slices for each part, or they would not get smaller
         parts = len({(r["column"], r["part"]) for r in found})
     return _values_at(rows, targets, quantiles)
 

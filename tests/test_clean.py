@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rows import NAN, tuples
@@ -71,6 +73,29 @@ def test_dedupe_on_all_columns_is_distinct(spark):
     assert tuples(dedupe(df, ["a", "b"])) == [(1, 2), (1, 3)]
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(0, 3)),
+            st.one_of(st.none(), st.integers(0, 3)),
+            st.text("ab", max_size=2),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_dedupe_is_the_smallest_row_of_each_key(spark, rows):
+    df = spark.createDataFrame(rows, "k int, o int, v string")
+    smallest = {}
+    for k, o, v in rows:
+        rank = (o is not None, o or 0, v)  # nulls first, as Spark sorts
+        if k not in smallest or rank < smallest[k][0]:
+            smallest[k] = (rank, (k, o, v))
+    expected = sorted((row for _, row in smallest.values()), key=repr)
+    assert tuples(dedupe(df, ["k"], ["o"])) == expected
+
+
 def test_dedupe_sends_one_row_per_key_and_task(spark):
     """A key with all rows is reduced before the shuffle."""
     df = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))

@@ -1,5 +1,6 @@
 """The plans at scale: hot keys, pushed filters, sizes that decide a join."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from rows import tuples
@@ -24,6 +25,11 @@ def dim(spark, n=50):
     return settle(spark.range(n).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("d")))
 
 
+def test_dimension_columns_must_be_new(spark):
+    with pytest.raises(ValueError, match="the fact has column d already"):
+        attach_dimension(hot_fact(spark).withColumnRenamed("v", "D"), dim(spark), "k")
+
+
 def test_small_dimension_is_broadcast(spark):
     joined = attach_dimension(hot_fact(spark), dim(spark), "k")
     assert "BroadcastHashJoin" in plan(joined)
