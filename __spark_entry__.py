@@ -25,6 +25,20 @@ from starloom.plans.arrivals import MEASURES, SINKS  # noqa: E402
 from starloom.scratch import scratch_folder, settle  # noqa: E402
 from starloom.sources import read_source, write_table  # noqa: E402
 
+# The training-data operators are a part that may be absent.
+try:
+    import corpus_pipeline
+    from starloom.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "starloom.llm"):
+        raise
+    LLM, LLM_SQL = {}, {}
+else:
+    LLM = llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = llm_queries.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 STAR = StarSpec()
@@ -396,7 +410,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "arrivals_vs_demographics": arrivals_vs_demographics,
         "arrivals_vs_temperature": arrivals_vs_temperature,
         "airport_airline_usage": airport_airline_usage,
-    }
+    } | LLM
 
 
 # --- oracles --------------------------------------------------------------
@@ -669,4 +683,4 @@ def oracle_sql() -> dict[str, str]:
             "fact",
             "dim_airport_unique",
         ),
-    }
+    } | LLM_SQL
