@@ -1,64 +1,101 @@
-"""Words are ``[^\\x20\\x09-\\x0D]+``; ``bytes.split`` cuts at just those six.
+"""Text measures that several operators of this subpackage share; numpy over UTF-8 bytes.
 
-Text measures that several operators of this subpackage share; plain Python and numpy."""
+Words are ``[^\\x20\\x09-\\x0D]+``. They are compared by 64-bit hashes.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
-_KEEP_WORDS = 1 << 19
+_IS_WHITE = np.isin(np.arange(256), list(WHITE))
+_BASE = 0xD1B54A32D192ED03  # odd, so that its powers have inverses modulo 2^64
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-class _WordHashes(dict):
-    """Hashes of words seen by this worker; emptied when it gets large."""
+class _Powers:
+    """Powers of the base and its inverse, as many as the longest slice needs."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KEEP_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+    size = 0
+    up = down = np.empty(0, np.uint64)
 
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > self.size:
+            self.size = max(n, 1 << 16)
+            self.up, self.down = (
+                np.multiply.accumulate(np.r_[np.uint64(1), np.full(self.size - 1, b, np.uint64)])
+                for b in (_BASE, _INVERSE)
+            )
+        return self.up[:n], self.down[:n]
 
-_hashes = _WordHashes()
+
+_powers = _Powers()
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """One hash per word: a polynomial in its bytes, from differences of prefix sums."""
+    n = len(raw)
+    if not n:
+        return np.empty(0, np.uint64)
+    data = np.frombuffer(raw, np.uint8)
+    edge = np.ones(n + 2, bool)
+    edge[1:-1] = _IS_WHITE[data]
+    turns = np.flatnonzero(edge[1:] != edge[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    up, down = _powers.upto(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def windows(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of ``size`` words in a row."""
+    n = len(hashes) - size + 1
+    mixed = np.full(max(n, 0), size, np.uint64)
+    for i in range(size if n > 0 else 0):
+        mixed = mix(mixed * np.uint64(0x9FB21C651E98DF25) + hashes[i : i + n])
+    return mixed
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; quicker on short arrays than ``np.unique``."""
+    ordered = np.sort(values)
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``size``-word shingles of a text.
+    """Sorted distinct hashes of the ``size``-word shingles of a text.
 
     A-Z count as a-z. A text of fewer words has its whole sequence as the only
     shingle, one without words none.
     """
-    found = text.encode("utf-8", "replace").lower().split() if text else []
-    if not found:
+    found = word_hashes(text.encode("utf-8", "replace").lower()) if text else ()
+    if not len(found):
         return np.empty(0, np.uint64)
-    each = np.array([_hashes[w] for w in found], np.uint64)
-    span = min(size, len(each))
-    n = len(each) - span + 1
-    mixed = np.full(n, span, np.uint64)
-    for i in range(span):
-        mixed = (mixed ^ each[i : i + n]) * np.uint64(0x9FB21C651E98DF25)
-        mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+    return distinct(windows(found, min(size, len(found))))
 
 
-def repeated_words(found: list[bytes]) -> int:
+def repeated_words(hashes: np.ndarray) -> int:
     """Words that lie in 3-word windows found twice or more."""
-    n = len(found)
+    n = len(hashes)
     if n < 4:
         return 0
-    numbers: dict[bytes, int] = {}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int64)
-    if len(numbers) == n:
+    found = windows(hashes, 3)
+    order = np.argsort(found)
+    ordered = found[order]
+    same = ordered[1:] == ordered[:-1]
+    if not same.any():
         return 0
-    kinds = len(numbers)
-    _, pairs = np.unique(ids[:-1] * kinds + ids[1:], return_inverse=True)
-    _, window, times = np.unique(
-        pairs[:-1].astype(np.int64) * kinds + ids[2:], return_inverse=True, return_counts=True
-    )
-    again = times[window] >= 2
+    again = np.zeros(n - 2, bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
     covered = np.zeros(n, bool)
     for shift in range(3):
         covered[shift : shift + n - 2] |= again
@@ -73,15 +110,15 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
     if not text:
         return 0, 0, 0, 0, 0, 0
     raw = text.encode("utf-8", "replace")
-    found = raw.split()
+    hashes = word_hashes(raw)
     white = len(raw) - len(raw.translate(None, WHITE))
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
     lines = [line for line in raw.split(b"\n") if line.strip()]
     return (
-        len(found),
+        len(hashes),
         len(text) - white,
         symbols,
         len(lines) - len(set(lines)),
-        repeated_words(found),
+        repeated_words(hashes),
         len(lines),
     )
