@@ -29,8 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_WIDTH = 64
-_REMEMBER = 1 << 18  # pre-tokens
+_REMEMBER = 1 << 19  # pre-tokens
 _SHORT = 64  # bytes of a pre-token worth remembering
 
 
@@ -41,49 +40,57 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions in buckets by rank; ``pop`` takes the leftmost of the lowest rank."""
+    """Positions in buckets by rank; ``pop`` takes the leftmost of the lowest rank.
+
+    Three levels of 64-bit words: a bit of the first is a rank, a bit of the next a word
+    that is not zero. An emptied queue is as good as new.
+    """
+
+    __slots__ = ("buckets", "low", "middle", "top")
 
     def __init__(self, ranks: int):
         self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        size = ranks
-        while True:
-            size = -(-size // _WIDTH)
-            self.levels.append([0] * size)
-            if size == 1:
-                break
+        self.low = [0] * ((ranks >> 6) + 1)
+        self.middle = [0] * ((ranks >> 12) + 1)
+        self.top = 0  # as many bits as the middle has words
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
+        if bucket is not None:
+            if position > bucket[-1]:
+                bucket.append(position)  # the largest may stand last in a heap
+            else:
+                heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        for level in self.levels:
-            at, bit = divmod(rank, _WIDTH)
-            before = level[at]
-            level[at] = before | 1 << bit
-            if before:
-                break
-            rank = at
+        word = rank >> 6
+        before = self.low[word]
+        self.low[word] = before | 1 << (rank & 63)
+        if not before:
+            self.middle[word >> 6] |= 1 << (word & 63)
+            self.top |= 1 << (word >> 6)
 
     def pop(self) -> tuple[int, int] | None:
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return None
-            at = at * _WIDTH + ((word & -word).bit_length() - 1)
-        bucket = self.buckets[at]
-        position = heappop(bucket)
-        if not bucket:
-            rank = at
-            for level in self.levels:
-                rank, bit = divmod(rank, _WIDTH)
-                level[rank] &= ~(1 << bit)
-                if level[rank]:
-                    break
-        return at, position
+        top = self.top
+        if not top:
+            return None
+        at = (top & -top).bit_length() - 1
+        bits = self.middle[at]
+        at = at << 6 | (bits & -bits).bit_length() - 1
+        bits = self.low[at]
+        rank = at << 6 | (bits & -bits).bit_length() - 1
+        bucket = self.buckets[rank]
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        bits &= bits - 1
+        self.low[at] = bits
+        if not bits:
+            above = at >> 6
+            self.middle[above] &= ~(1 << (at & 63))
+            if not self.middle[above]:
+                self.top &= ~(1 << above)
+        return rank, bucket[0]
 
 
 @dataclass
@@ -93,12 +100,12 @@ class Codec:
     ranks: dict[bytes, int]
     pattern: str
     _tokens: dict[int, bytes] = field(default_factory=dict, repr=False)
-    _memory: dict[bytes, list[int]] = field(default_factory=dict, repr=False)
+    _memory: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         self._split = regex.compile(self.pattern)
         self._tokens = {rank: token for token, rank in self.ranks.items()}
-        self._n_ranks = max(self._tokens, default=0) + 1
+        self._queue = RankQueue(max(self._tokens, default=0))
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -109,63 +116,75 @@ class Codec:
         n = len(piece)
         end = list(range(1, n + 1))  # of the part that starts here; 0 once it is merged away
         before = list(range(-1, n - 1))
-        queue = RankQueue(self._n_ranks)
-
-        def offer(left: int) -> None:
-            right = end[left]
-            if right < n:
-                rank = ranks.get(piece[left : end[right]])
-                if rank is not None:
-                    queue.push(rank, left)
-
+        rank_of, push, pop = ranks.get, self._queue.push, self._queue.pop
         for i in range(n - 1):
-            offer(i)
-        while (found := queue.pop()) is not None:
+            rank = rank_of(piece[i : i + 2])
+            if rank is not None:
+                push(rank, i)
+        while (found := pop()) is not None:
             rank, left = found
             right = end[left]
             # stale: the part is gone, or its pair is another one now
-            if not right or right >= n or ranks.get(piece[left : end[right]]) != rank:
+            if not right or right >= n:
                 continue
             after = end[right]
+            if rank_of(piece[left:after]) != rank:
+                continue
             end[left], end[right] = after, 0
             if after < n:
                 before[after] = left
-            offer(left)
-            if before[left] >= 0:
-                offer(before[left])
+                wider = rank_of(piece[left : end[after]])
+                if wider is not None:
+                    push(wider, left)
+            previous = before[left]
+            if previous >= 0:
+                wider = rank_of(piece[previous:after])
+                if wider is not None:
+                    push(wider, previous)
         ids, at = [], 0
         while at < n:
             ids.append(ranks[piece[at : end[at]]])
             at = end[at]
         return ids
 
+    def _merged(self, token: str) -> list[int]:
+        piece = token.encode("utf-8", "replace")
+        own = self.merge(piece)
+        if len(piece) <= _SHORT:
+            if len(self._memory) >= _REMEMBER:
+                self._memory.clear()
+            self._memory[token] = own
+        return own
+
     def encode(self, text: str | None) -> list[int]:
         ids: list[int] = []
-        memory = self._memory
+        known, merged = self._memory.get, self._merged
         for match in self._split.finditer(text or ""):
-            token = match.group()
-            own = memory.get(token)
-            if own is None:
-                piece = token.encode("utf-8", "replace")
-                own = self.merge(piece)
-                if len(piece) <= _SHORT:
-                    if len(memory) >= _REMEMBER:
-                        memory.clear()
-                    memory[token] = own
-            ids += own
+            token = match[0]
+            ids += known(token) or merged(token)
         return ids
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self._tokens.__getitem__, ids))
 
 
+_codecs: list[Codec] = []
+
+
+def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
+    """This worker's codec; the tasks it runs share what it remembers."""
+    if not _codecs or _codecs[0].pattern != pattern or _codecs[0].ranks != ranks:
+        _codecs[:] = [Codec(ranks, pattern)]
+    return _codecs[0]
+
+
 def coder(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> Column:
     """A column with the struct ``ids, decoded`` (bytes) of each text."""
     sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
 
     @F.pandas_udf("ids array<int>, decoded binary")
     def code(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(*sent.value)
+        codec = _codec(*sent.value)
         for batch in texts:
             ids = [codec.encode(t) for t in batch]
             yield pd.DataFrame({"ids": ids, "decoded": [codec.decode(i) for i in ids]})
@@ -191,7 +210,7 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(*sent.value)
+        codec = _codec(*sent.value)
         for batch in texts:
             rows = []
             for t in batch:
