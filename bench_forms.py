@@ -1,4 +1,4 @@
-"""Times the plain form of three steps against the form the library uses.
+"""Times the plain form of two steps against the form the library uses.
 
 Reads the same settings as ``bench.py`` and prints one JSON line.
 """
@@ -7,16 +7,13 @@ from __future__ import annotations
 
 import json
 import time
-from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 import bench
 import standin
 from starloom import StarSpec
-from starloom.functions import iso_date
 from starloom.operators import average_numeric, table_check
 from starloom.plans.dimensions import city_demographics
 from starloom.plans.star import dimension
@@ -25,11 +22,6 @@ from starloom.scratch import settle
 SPEC = StarSpec()
 
 
-@F.udf(T.StringType())
-def day_by_day(number):
-    return (date(1960, 1, 1) + timedelta(number)).isoformat() if number else None
-
-
 def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -70,8 +62,6 @@ def main() -> None:
     forms = {
         "demographics joined to fact rows": demographics_by_fact_rows,
         "demographics joined to distinct states": demographics_by_distinct_states,
-        "dates by Python UDF": lambda: run(arrivals.select(day_by_day("arrdate"))),
-        "dates by native expression": lambda: run(arrivals.select(iso_date(F.col("arrdate")))),
         "table check in two actions": check_in_two_actions,
         "table check in one action": check_in_one_action,
     }

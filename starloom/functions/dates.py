@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ SAS_EPOCH = "1960-01-01"
 # never meets a real day number (-1, for one, is 1959-12-31).
 MISSING_DATE_ID = -1_000_000
 
+# The day numbers of 0001-01-01 and 9999-12-31; others have no ISO date of four-digit year.
+FIRST_DAY = date.min.toordinal() - date(1960, 1, 1).toordinal()
+LAST_DAY = date.max.toordinal() - date(1960, 1, 1).toordinal()
+
+# The columns of a date dimension.
 CALENDAR = {
     "day": F.dayofmonth,
     "week": F.weekofyear,
@@ -24,11 +31,12 @@ CALENDAR = {
 def sas_day(value: Column) -> Column:
     """A SAS date number as a whole day number.
 
-    Fractions are floored, below zero too. Null, NaN and 0 mean "no date".
+    Fractions are floored, below zero too. Null, NaN, 0 and days outside the years
+    1 to 9999 mean "no date".
     """
     number = value.cast("double")
     day = F.floor(number).try_cast("int")
-    return F.when((number != 0) & ~F.isnan(number), day)
+    return F.when((number != 0) & ~F.isnan(number) & day.between(FIRST_DAY, LAST_DAY), day)
 
 
 def date_of_day(day: Column) -> Column:

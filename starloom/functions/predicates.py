@@ -18,8 +18,8 @@ def is_missing(df: DataFrame, name: str) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    """Text that is empty after trimming."""
-    return F.trim(text) == ""
+    """Text of white space only, tabs and line breaks included."""
+    return ~text.rlike(r"(?U)\S")
 
 
 def outside(value: Column, low, high) -> Column:

@@ -10,7 +10,7 @@ from starloom.operators.clean import (
     drop_missing,
     require_columns,
 )
-from starloom.operators.join import attach_dimension, lookup, missing_keys
+from starloom.operators.join import attach_dimension, attach_dimensions, lookup, missing_keys
 from starloom.operators.profile import (
     column_profile,
     count_where,
@@ -26,6 +26,7 @@ from starloom.operators.quantiles import exact_quantiles
 
 __all__ = [
     "attach_dimension",
+    "attach_dimensions",
     "average_numeric",
     "cast_columns",
     "cast_losses",

@@ -41,10 +41,15 @@ def check_tables(tables: Mapping[str, DataFrame], min_rows: int | Mapping[str, i
 
 
 def require_passed(checks: DataFrame) -> None:
-    """Raise ``ValueError`` for tables with too few or duplicate rows."""
-    failed = checks.where(~F.col("enough_rows") | (F.col("n_dup") > 0)).collect()
+    """Raise ``ValueError`` for tables with too few or duplicate rows, or lost values."""
+    lost = F.col("n_lost") if "n_lost" in checks.columns else F.lit(0)
+    checks = checks.withColumn("n_lost", lost)
+    failed = checks.where("not enough_rows or n_dup > 0 or n_lost > 0").collect()
     if failed:
-        found = "; ".join(f"{r.table}: {r.n_rows} rows, {r.n_dup} duplicates" for r in failed)
+        found = "; ".join(
+            f"{r.table}: {r.n_rows} rows, {r.n_dup} duplicates, {r.n_lost} values lost"
+            for r in failed
+        )
         raise ValueError(f"table checks failed: {found}")
 
 

@@ -3,71 +3,87 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Dimensions up to this many rows are broadcast: some tens of MB.
-BROADCAST_ROWS = 100_000
-
+from starloom.scratch import settle
 
 def lookup(keys: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
     """Left join on keys of different name; the table's key is dropped."""
     return keys.join(table, keys[key] == table[table_key], "left").drop(table[table_key])
 
 
-def attach_dimension(
-    fact: DataFrame, dim: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Left join a dimension to the fact, leaving the fact's rows as they are.
+def attach_dimension(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """``attach_dimensions`` with one dimension."""
+    return attach_dimensions(fact, {key: dim})
+
+
+def attach_dimensions(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Left join dimensions, by their key columns, to the fact; its rows stay as they are.
 
-    ``dim`` is measured first, so it should be a written table (``settle``).
-    A repeated key would multiply fact rows and raises ``ValueError``. A larger
-    dimension is joined by shuffle; AQE then splits the fact's hot keys.
+    A repeated key would multiply fact rows and raises ``ValueError``; one job looks at
+    all dimensions. Pass written tables (``settle``): Spark then knows their size and
+    broadcasts the small ones; for others AQE splits the fact's hot keys. Fact rows without
+    a key match nothing, so in the join they are dealt out by a hash of the row.
     """
-    dim = dim.where(F.col(key).isNotNull())
-    size = (
-        dim.groupBy(key)
-        .count()
-        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.max("count").alias("most"))
-        .first()
-    )
-    if size.rows and size.most > 1:
-        raise ValueError(f"dimension key {key} is not unique")
-    if size.rows <= broadcast_rows:
-        dim = F.broadcast(dim)
-    attributes = [c for c in dim.columns if c != key]
-    taken = {c.lower() for c in fact.columns}
-    twice = [c for c in attributes if c.lower() in taken]
-    if twice:
-        raise ValueError(f"dimension of {key}: the fact has column {', '.join(twice)} already")
-    return fact.join(dim, key, "left").select(*fact.columns, *attributes)
+    dims = {key: dim.where(F.col(key).isNotNull()) for key, dim in dims.items()}
+    _require_unique(dims)
+    for key, dim in dims.items():
+        attributes = [c for c in dim.columns if c != key]
+        taken = {c.lower() for c in fact.columns}
+        twice = [c for c in attributes if c.lower() in taken]
+        if twice:
+            raise ValueError(f"dimension of {key}: the fact has column {', '.join(twice)} already")
+        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+        spread = F.when(F.col(key).isNull(), row_hash).otherwise(F.lit(0).cast("long"))
+        left = fact.withColumn("_spread", spread)
+        # not a literal, which Spark would take out of the join's keys
+        right = dim.withColumn("_spread", F.col(key).isNull().cast("long"))
+        fact = left.join(right, [key, "_spread"], "left").select(*fact.columns, *attributes)
+    return fact
+
+
+def _require_unique(dims: Mapping[str, DataFrame]) -> None:
+    most = [
+        dim.groupBy(key).count().agg(F.lit(key).alias("key"), F.max("count").alias("most"))
+        for key, dim in dims.items()
+    ]
+    if not most:
+        return
+    repeated = reduce(DataFrame.unionByName, most).where("most > 1").collect()  # a row per key
+    if repeated:
+        raise ValueError(f"dimension key {', '.join(r.key for r in repeated)} is not unique")
 
 
 def missing_keys(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Fact keys without a dimension row: (dimension, key, n_rows).
 
     ``dims`` maps a name to (dimension, key column). Null keys appear as a null
-    ``key``. The fact is read once and reduced to key counts before the join.
+    ``key``. The fact is read once, and its keys are counted in their own types
+    before they are compared in the common type of both sides (as text where there is none).
     """
-    as_text = [
-        F.col(key).try_cast(dim.schema[key].dataType).cast("string").alias(name)
-        for name, (dim, key) in dims.items()
-    ]
-    used = (
-        fact.select(*as_text)
-        .unpivot([], list(dims), "dimension", "key")
-        .groupBy("dimension", "key")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+    keys = list(dict.fromkeys(key for _, key in dims.values()))
+    used = settle(
+        fact.groupingSets([[key] for key in keys], *keys).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.grouping_id().alias("_set")
+        )
     )
-    known = None
+    every = (1 << len(keys)) - 1
+    audits = []
     for name, (dim, key) in dims.items():
-        part = dim.select(
-            F.lit(name).alias("dimension"),
-            F.col(key).cast("string").alias("key"),
-            F.lit(True).alias("known"),
+        own = every - (1 << (len(keys) - 1 - keys.index(key)))  # 0 in the place of the key
+        counted = used.where(F.col("_set") == own).select(F.col(key).alias("_used"), "n_rows")
+        known = dim.select(F.col(key).alias("_known")).where("_known is not null").distinct()
+        left, right = F.col("_used"), F.col("_known")
+        if isinstance(counted.schema["_used"].dataType, T.StringType) != isinstance(
+            known.schema["_known"].dataType, T.StringType
+        ):
+            left, right = left.cast("string"), right.cast("string")
+        missing = counted.join(known, left == right, "left_anti")
+        audits.append(
+            missing.select(F.lit(name).alias("dimension"), F.col("_used").cast("string").alias("key"), "n_rows")
         )
-        known = part if known is None else known.unionByName(part)
-    # Not an anti join: Spark would move that below the count, to the fact rows.
-    joined = used.join(known, ["dimension", "key"], "left")
-    return joined.where(F.col("known").isNull()).drop("known")
+    return reduce(DataFrame.unionByName, audits)

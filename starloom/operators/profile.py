@@ -45,8 +45,9 @@ def count_where(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
 
 
 def rows_at_max(df: DataFrame, column: str) -> DataFrame:
-    """The rows whose value is the column's maximum."""
-    return df.where(F.col(f"`{column}`") == df.select(F.max(f"`{column}`")).scalar())
+    """The rows whose value is the column's maximum; NaN is missing, not large."""
+    present = F.when(~is_missing(df, column), F.col(f"`{column}`"))
+    return df.where(F.col(f"`{column}`") == df.select(F.max(present)).scalar())
 
 
 def distinct_counts(

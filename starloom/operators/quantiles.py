@@ -23,11 +23,11 @@ def exact_quantiles(
 
     The quantile ``p`` of ``n`` values is the value of rank ``ceil(p * n)``.
     Values are counted, so a frequent one is one row, and range partitioned
-    into slices. Only slices that hold a wanted rank are kept, and sliced again
-    while one of them has more than ``slice_rows`` values.
+    into slices, as many as their number asks for. Only slices that hold a wanted
+    rank are kept, and sliced again, finer each time, until none of them has more than
+    ``slice_rows`` values: counted values are distinct, so they can always be told apart.
     """
     spark = df.sparkSession
-    n_slices = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     rows = (
         values.unpivot([], list(columns), "column", "value")
@@ -36,12 +36,13 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("part", F.lit(0))
     )
-    targets, parts, largest = None, 1, None
+    rows = settle(rows)
+    targets, n_slices = None, 2 * len(columns) + 2 * (rows.count() // slice_rows)
     while True:
         # Written, because range bounds are sampled and may differ if recomputed.
         rows = settle(
             rows.repartitionByRange(
-                max(n_slices, 4 * parts), "column", "part", "value"
+                max(2, n_slices), "column", "part", "value"
             ).withColumn("slice", F.spark_partition_id())
         )
         slices = _slices(rows)
@@ -72,11 +73,11 @@ def exact_quantiles(
         rows = rows.join(kept, ["column", "slice"]).select(
             "column", "value", "n", F.col("slice").alias("part")
         )
-        before, largest = largest, max(r["slice_values"] for r in found)
-        if largest <= slice_rows or largest == before:
+        parts = {(r["column"], r["part"]): r["slice_values"] for r in found}
+        if max(parts.values()) <= slice_rows:
             break
-        # at least some slices for each part, or they would not get smaller
-        parts = len({(r["column"], r["part"]) for r in found})
+        # twice what even slices would take, and more for each part every time
+        n_slices = 2 * n_slices + 4 * len(parts) + 2 * (sum(parts.values()) // slice_rows)
     return _values_at(rows, targets, quantiles)
 
 

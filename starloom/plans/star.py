@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import iso_date
-from starloom.operators import attach_dimension, check_tables, missing_keys, require_passed
+from starloom.operators import attach_dimensions, cast_losses, check_tables, missing_keys, require_passed
 from starloom.operators.clean import require_columns
 from starloom.plans.dimensions import (
     airport_dimension,
@@ -20,7 +20,7 @@ from starloom.plans.dimensions import (
     keys_of_all,
 )
 from starloom.scratch import settle, settle_all
-from starloom.sources import FORMATS, format_of, load_sources, write_table
+from starloom.sources import FORMATS, format_of, load_sources, source_losses, write_table
 from starloom.specs import RunSpec, SinkSpec, StarSpec
 
 TABLES = ("date", "country", "airport", "demographics", "fact")
@@ -73,13 +73,17 @@ def write_star(star: Mapping[str, DataFrame], sinks: Mapping[str, SinkSpec]) ->
     return written
 
 
-def star_counts(star: Mapping[str, DataFrame], min_rows: int = 10) -> DataFrame:
+def star_counts(
+    star: Mapping[str, DataFrame], min_rows: int | Mapping[str, int] = 10
+) -> DataFrame:
     """(table, n_rows, enough_rows); from file footers if the star is written."""
     counts = [
         df.agg(
             F.lit(name).alias("table"),
             F.count(F.lit(1)).alias("n_rows"),
-            (F.count(F.lit(1)) >= min_rows).alias("enough_rows"),
+            (
+                F.count(F.lit(1)) >= (min_rows if isinstance(min_rows, int) else min_rows[name])
+            ).alias("enough_rows"),
         )
         for name, df in star.items()
     ]
@@ -91,10 +95,8 @@ def star_join(star: Mapping[str, DataFrame], spec: StarSpec) -> DataFrame:
 
     Needs unique dimension keys, hence ``unique_ports``.
     """
-    joined = star["fact"]
-    for name, key in dimension_keys(spec).items():
-        joined = attach_dimension(joined, star[name], key)
-    return joined
+    dims = {key: star[name] for name, key in dimension_keys(spec).items()}
+    return attach_dimensions(star["fact"], dims)
 
 
 def dimension_keys(spec: StarSpec) -> dict[str, str]:
@@ -131,8 +133,10 @@ def run(
     """Load, check, build and write. Returns (star, source checks, star counts).
 
     Row-based sources are written as Parquet once: checks, keys and fact each
-    read them, and text would be parsed as a whole every time. With ``strict``
-    a failed check of a source raises before anything is written to the sinks.
+    read them, and text would be parsed as a whole every time. The source checks also
+    have ``n_lost``, the values that declared types and casts turned into null. With
+    ``strict`` a failed check of a source, lost values included, raises before anything is
+    written to the sinks, and a table of the star below its ``min_rows`` raises after.
     """
     sources = load_sources(spark, spec.sources, formats)
     sources = {
@@ -140,10 +144,24 @@ def run(
         for name, df in sources.items()
     }
     min_rows = {name: source.min_rows for name, source in spec.sources.items()}
-    checks = settle(check_tables(sources, min_rows))
+    lost = [
+        source_losses(spark, source, formats).agg(
+            F.lit(name).alias("table"), F.coalesce(F.sum("n_lost"), F.lit(0)).alias("n_lost")
+        )
+        for name, source in spec.sources.items()
+    ]
+    losses = settle(reduce(DataFrame.unionByName, lost))
+    checks = settle(check_tables(sources, min_rows).join(losses, "table"))
     if strict:
         require_passed(checks)
     star = build_star(sources, spec.star)
     if spec.sinks:
         star = write_star(star, spec.sinks)
-    return star, checks, star_counts(star)
+    least = {name: spec.sinks[name].min_rows if name in spec.sinks else 10 for name in star}
+    counts = star_counts(star, least)
+    if strict:
+        counts = settle(counts)
+        small = counts.where(~F.col("enough_rows")).collect()  # a row per table
+        if small:
+            raise ValueError(f"too few rows in {', '.join(r.table for r in small)}")
+    return star, checks, counts

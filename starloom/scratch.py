@@ -18,11 +18,12 @@ def _local_folder(application: str) -> str:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new path below the shared folder named by ``spark.checkpoint.dir``.
+    """A new path below the shared folder named by ``spark.checkpoint.dir``, or else set
+    by ``setCheckpointDir``.
 
-    Only a local-mode session may go without that setting.
+    Only a local-mode session, as in tests, may go without.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

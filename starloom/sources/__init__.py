@@ -1,6 +1,6 @@
 """Reading sources and writing tables."""
 
-from starloom.sources.scan import FORMATS, format_of, load_sources, read_source
+from starloom.sources.scan import FORMATS, format_of, load_sources, read_source, source_losses
 from starloom.sources.sink import write_table
 
-__all__ = ["FORMATS", "format_of", "load_sources", "read_source", "write_table"]
+__all__ = ["FORMATS", "format_of", "load_sources", "read_source", "source_losses", "write_table"]

@@ -6,7 +6,10 @@ from collections.abc import Mapping
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starloom.functions import safe_cast
+from starloom.operators.checks import cast_losses
 from starloom.operators.clean import clean, require_columns
 from starloom.specs import SourceSpec
 
@@ -41,17 +44,28 @@ def read_source(
 
 
 def _read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    # Reads one line, for the header: every column is text.
-    as_text = spark.read.csv(spec.path, header=True, sep=spec.sep)
-    if not spec.schema:
-        return as_text
-    require_columns(as_text, spec.schema, f"source {spec.path}")
-    # The declared types in the file's own column order, so that no inference
-    # pass is needed. A file whose header differs fails instead of shifting.
-    schema = ", ".join(f"`{c}` {spec.schema.get(c, 'string')}" for c in as_text.columns)
-    return spark.read.csv(
-        spec.path, schema=schema, header=True, sep=spec.sep, enforceSchema=False
+    """All columns as text, those of declared types cast; ``source_losses`` counts what
+    a cast turns into null. Spark's reader would drop such values without a trace."""
+    as_text = spark.read.csv(
+        spec.path, header=True, sep=spec.sep, inferSchema=spec.infer and not spec.schema
     )
+    require_columns(as_text, spec.schema or (), f"source {spec.path}")
+    kinds = {c: t for c, t in (spec.schema or {}).items() if t != "string"}
+    return as_text.withColumns(
+        {c: safe_cast(F.col(f"`{c}`"), as_text.schema[c].dataType, t) for c, t in kinds.items()}
+    )
+
+
+def source_losses(spark: SparkSession, spec: SourceSpec, formats: Mapping[str, str] = FORMATS):
+    """Values that the declared types and casts of a source turn into null:
+    (column, n_lost), in one pass over the source as it is."""
+    fmt = format_of(spec.path, formats)
+    if fmt == "csv":
+        raw = spark.read.csv(spec.path, header=True, sep=spec.sep)
+        declared = {c: t for c, t in (spec.schema or {}).items() if t != "string"}
+    else:
+        raw, declared = spark.read.format(fmt).load(spec.path), {}
+    return cast_losses(raw, declared | dict(spec.casts or {}))
 
 
 def load_sources(

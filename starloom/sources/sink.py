@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.clean import require_columns
 from starloom.specs import SinkSpec
@@ -13,11 +15,19 @@ def write_table(df: DataFrame, sink: SinkSpec) -> str:
 
     Rows of one partition value are brought together so that it gets few
     files; ``rebalance`` lets AQE split a value with many rows over several
-    tasks and files, and merge small ones.
+    tasks and files, and merge small ones. An empty text in a partition column would be
+    read back as null, so it fails the write.
     """
     require_columns(df, sink.partition_by, f"sink {sink.name}")
     path = f"{sink.path.rstrip('/')}/{sink.name}"
+    texts = [c for c in sink.partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+    df = df.withColumns({c: _not_empty(c, sink.name) for c in texts})
     if sink.partition_by:
         df = df.hint("rebalance", *sink.partition_by)
     df.write.mode("overwrite").partitionBy(*sink.partition_by).parquet(path)
     return path
+
+
+def _not_empty(column: str, sink: str) -> Column:
+    refuse = F.raise_error(F.lit(f"sink {sink}: empty text in partition column {column}"))
+    return F.when(F.col(f"`{column}`") == "", refuse).otherwise(F.col(f"`{column}`"))

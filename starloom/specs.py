@@ -20,7 +20,8 @@ class SourceSpec:
     """One source table and how to clean it.
 
     ``schema`` names the columns the source must have and their Spark types;
-    without it CSV columns are read as text. ``dedupe_order`` decides which of
+    without it CSV columns are read as text, or with ``infer`` as the types that one
+    more pass over them finds. ``dedupe_order`` decides which of
     several rows with equal ``dedupe`` columns survives (the smallest one).
     """
 
@@ -33,6 +34,7 @@ class SourceSpec:
     dedupe_order: Sequence[str] = ()
     drop: Sequence[str] = ()
     min_rows: int = 10
+    infer: bool = False
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,7 @@ class SinkSpec:
     path: str
     name: str
     partition_by: Sequence[str] = ()
+    min_rows: int = 10
 
 
 @dataclass(frozen=True)

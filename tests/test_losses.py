@@ -1,0 +1,74 @@
+"""Values that do not fit are counted; edge values of checks, dates and partitions."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom import SinkSpec, SourceSpec
+from starloom.functions import is_blank, iso_date
+from starloom.operators import exact_quantiles, missing_keys, require_passed, rows_at_max
+from starloom.sources import read_source, source_losses, write_table
+
+
+@pytest.fixture
+def csv(tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("i,d,big\n12.0,1.5,3000000000.0\nx,abc,7\n,,\n")
+    return str(path)
+
+
+def test_csv_values_that_do_not_fit_are_counted(spark, csv):
+    spec = SourceSpec(path=csv, schema={"i": "int", "d": "double", "big": "double"}, casts={"big": "int"})
+    assert [tuple(r) for r in read_source(spark, spec).collect()] == [
+        (12, 1.5, 3e9), (None, None, 7.0), (None, None, None)
+    ]
+    assert {r.column: r.n_lost for r in source_losses(spark, spec).collect()} == {"i": 1, "d": 1, "big": 1}
+
+
+def test_inference_is_opt_in(spark, csv):
+    plain = read_source(spark, SourceSpec(path=csv))
+    inferred = read_source(spark, SourceSpec(path=csv, infer=True))
+    assert {t for _, t in plain.dtypes} == {"string"}
+    assert dict(inferred.dtypes) == {"i": "string", "d": "string", "big": "double"}
+
+
+def test_lost_values_fail_the_checks(spark):
+    row = "select 't' table, 20 n_rows, 0 n_dup, true enough_rows, {} n_lost"
+    require_passed(spark.sql(row.format(0)))
+    with pytest.raises(ValueError, match="3 values lost"):
+        require_passed(spark.sql(row.format(3)))
+
+
+def test_nan_is_no_maximum(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,), (None,)], "x double")
+    assert [r.x for r in rows_at_max(df, "x").collect()] == [2.0]
+
+
+def test_white_space_is_blank(spark):
+    df = spark.createDataFrame([(" \n",), ("\t",), ("\u3000",), ("",), ("a ",), (None,)], "x string")
+    assert [r[0] for r in df.select(is_blank(F.col("x"))).collect()] == [True] * 4 + [False, None]
+
+
+def test_days_without_an_iso_date_are_null(spark):
+    df = spark.createDataFrame([(-2147483648.0,), (3e6,), (2936549.0,), (2936550.0,)], "x double")
+    assert [r[0] for r in df.select(iso_date(F.col("x"))).collect()] == [None, None, "9999-12-31", None]
+
+
+def test_empty_text_in_a_partition_column_is_refused(spark, tmp_path):
+    df = spark.createDataFrame([("", 1), ("a", 2)], "p string, v int")
+    with pytest.raises(Exception, match="empty text in partition column p"):
+        write_table(df, SinkSpec(str(tmp_path), "t", ["p"]))
+
+
+def test_keys_of_another_type_are_compared_as_they_are(spark):
+    numbers = spark.createDataFrame([(101.0,), (101.7,), (None,)], "k double")
+    texts = spark.createDataFrame([("101",), ("abc",)], "k string")
+    known = spark.createDataFrame([(101,)], "k int")
+    found = {(r.key, r.n_rows) for r in missing_keys(numbers, {"d": (known, "k")}).collect()}
+    assert found == {("101.7", 1), (None, 1)}
+    assert [r.key for r in missing_keys(texts, {"d": (known, "k")}).collect()] == ["abc"]
+
+
+def test_slices_shrink_until_they_fit(spark):
+    df = spark.range(300).select(F.col("id").cast("double").alias("x"))
+    found = exact_quantiles(df, ["x"], {"q": 0.5}, slice_rows=1).first()
+    assert found.q == 149.0

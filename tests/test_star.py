@@ -157,27 +157,6 @@ def test_demographics_dimension(star):
     ]
 
 
-def test_distinct_keys_first_equals_joining_the_fact_rows(spark, sources, star):
-    cities = city_demographics(sources["demographics"])
-    by_rows = spark.sql(
-        """select i94addr state_code, State, avg(MedianAgeAvg) MedianAgeAvg,
-                  avg(RaceCountAsianAvg) RaceCountAsianAvg
-           from {im} left join {cities} on `State Code` = i94addr
-           where i94addr is not null group by 1, 2""",
-        im=sources["arrivals"],
-        cities=cities,
-    )
-    columns = ("state_code", "State", "MedianAgeAvg", "RaceCountAsianAvg")
-    assert tuples(star["demographics"], *columns) == tuples(by_rows, *columns)
-    by_rows = spark.sql(
-        """select distinct i94port arrival_port, ap.*
-           from {im} im left join {ap} ap on i94port = iata_code and i94mode = 1""",
-        im=sources["arrivals"],
-        ap=sources["airports"],
-    )
-    assert tuples(star["airport"]) == tuples(by_rows)
-
-
 def test_fact_table(star):
     fact = star["fact"]
     names = {
@@ -202,7 +181,7 @@ def test_single_dimensions_equal_those_of_the_star(sources, star):
 
 
 def test_star_join_needs_unique_keys(star, unique_star, sources):
-    with pytest.raises(ValueError, match="arrival_port is not unique"):
+    with pytest.raises(ValueError, match="arrival_port.* not unique"):
         star_plan.star_join({**unique_star, "airport": star["airport"]}, UNIQUE)
     with pytest.raises(ValueError, match="state_code is not unique"):
         star_plan.star_join(unique_star, UNIQUE)
