@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,6 +141,33 @@ def load_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def _as_csv(df: DataFrame, columns: dict[str, str], sep: str) -> DataFrame:
+    """``df`` written as CSV into the shared folder and scanned by a spec."""
+    path = f"{scratch_folder(df.sparkSession)}/table.csv"
+    df.select(*columns).write.csv(path, header=True, sep=sep)
+    return read_source(df.sparkSession, SourceSpec(path=path, sep=sep, schema=columns))
+
+
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = standin.table(spark, sf_dir, "orders").withColumn(
+        "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")
+    )
+    columns = {
+        "o_orderkey": "long", "o_custkey": "long", "o_orderstatus": "string",
+        "o_totalprice": "double", "o_orderdate": "date", "o_orderpriority": "string",
+    }
+    found = _as_csv(orders, columns, ",")
+    return found.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+def csv_scan_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = {
+        "c_custkey": "long", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+        "c_mktsegment": "string",
+    }
+    return _as_csv(standin.table(spark, sf_dir, "customer"), columns, ";")
+
+
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = star_plan.fact_table(_arrivals(spark, sf_dir), STAR)
     name, partitions = SINKS["fact"]
@@ -282,6 +310,20 @@ def column_profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(operators.column_profile(standin.raw_arrivals(spark, sf_dir)))
 
 
+def sketched_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the sketched quartiles lie within the stated error of their ranks."""
+    raw = settle(standin.raw_arrivals(spark, sf_dir, list(_NUMERIC)))
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = operators.sketched_quantiles(
+        raw.select(*[F.col(c).cast("double").alias(c) for c in _NUMERIC]), _NUMERIC, quartiles, 1_000
+    )
+    wanted = F.coalesce(*[F.when(F.col("quantile") == q, p) for q, p in quartiles.items()])
+    near = (F.col("below") <= wanted + 0.001) & (F.col("upto") >= wanted - 0.001)
+    return operators.quantile_ranks(raw, found, list(quartiles)).select(
+        "column", "quantile", near.alias("within_error")
+    )
+
+
 def table_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.check_tables(standin.sources(spark, sf_dir))
 
@@ -331,6 +373,23 @@ def star_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_plan.star_counts(_star(spark, sf_dir, STAR))
 
 
+def star_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole star written and read back: rows, and rows that have their key."""
+    star = _star(spark, sf_dir, STAR)
+    folder = scratch_folder(spark)
+    sinks = {name: SinkSpec(folder, table, by) for name, (table, by) in SINKS.items()}
+    keys = star_plan.dimension_keys(STAR) | {"fact": STAR.state_key}
+    counts = [
+        df.agg(
+            F.lit(name).alias("table"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(keys[name]).alias("n_keyed"),
+        )
+        for name, df in star_plan.write_star(star, sinks).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_plan.audit_keys(_star(spark, sf_dir, STAR), STAR)
 
@@ -368,6 +427,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir)."""
     return {
         "scan_dispatch": scan_dispatch,
+        "csv_scan": csv_scan,
+        "csv_scan_semicolon": csv_scan_semicolon,
         "sink_roundtrip": sink_roundtrip,
         "load_sources": load_sources,
         "cast_columns": cast_columns,
@@ -390,6 +451,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_uniqueness": key_uniqueness,
         "column_profile": column_profile,
         "column_profile_sketch": column_profile_sketch,
+        "sketched_quartiles": sketched_quartiles,
         "table_checks": table_checks,
         "top_n": top_n,
         "left_lookup": left_lookup,
@@ -404,6 +466,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_table": fact_table,
         "star_join": star_join,
         "star_summary": star_summary,
+        "star_roundtrip": star_roundtrip,
         "fk_audit": fk_audit,
         "arrivals_by_month": arrivals_by_month,
         "arrivals_by_weekday": arrivals_by_weekday,
@@ -597,6 +660,20 @@ def oracle_sql() -> dict[str, str]:
             select 'orders', count(*), count(distinct o_orderkey),
                    count(*) = count(distinct o_orderkey) from orders""",
         "column_profile": with_views(_profile_sql(), "raw_arrivals"),
+        "sketched_quartiles": with_views(
+            "\nunion all\n".join(
+                f"""select '{c}' "column", '{q}' quantile, true within_error
+                    from raw_arrivals having count("{c}") > 0"""
+                for c in _NUMERIC
+                for q in ("q25", "q50", "q75")
+            ),
+            "raw_arrivals",
+        ),
+        "csv_scan": """
+            select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+                   strftime(o_orderdate, '%Y-%m-%d') o_orderdate, o_orderpriority from orders""",
+        "csv_scan_semicolon": """
+            select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer""",
         "table_checks": with_views(_union(table_check, sources), *sources),
         "top_n": with_views(
             'select * from raw_demographics order by "Median Age" desc, "Count" limit 5',
@@ -632,6 +709,15 @@ def oracle_sql() -> dict[str, str]:
             "dim_airport_unique",
             *views,
         ),
+        "star_roundtrip": with_views(
+            "\nunion all\n".join(
+                f"""select '{name}' "table", count(*) n_rows, count({key}) n_keyed from {view}"""
+                for name, view, key in [*[(n, v, k) for n, (v, k) in dims.items()],
+                                        ("fact", "fact", "state_code")]
+            ),
+            *[v for v, _ in dims.values()],
+            "fact",
+        ),
         "star_summary": with_views(
             "\nunion all\n".join(
                 f"""select '{name}' "table", count(*) n_rows, count(*) >= 10 enough_rows

@@ -19,7 +19,9 @@ from starloom.operators.profile import (
     duplicate_count,
     key_uniqueness,
     null_percent,
+    quantile_ranks,
     rows_at_max,
+    sketched_quantiles,
     top_n,
 )
 from starloom.operators.quantiles import exact_quantiles
@@ -47,9 +49,11 @@ __all__ = [
     "missing_keys",
     "null_percent",
     "pivot_average",
+    "quantile_ranks",
     "require_columns",
     "require_passed",
     "rows_at_max",
+    "sketched_quantiles",
     "table_check",
     "top_n",
 ]

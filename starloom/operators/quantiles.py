@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.scratch import settle
@@ -13,6 +13,10 @@ from starloom.scratch import settle
 SLICE_ROWS = 1_000_000
 
 
+def no_quantiles(spark: SparkSession, quantiles: Iterable[str]) -> DataFrame:
+    return spark.createDataFrame([], "column string" + "".join(f", {q} double" for q in quantiles))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -28,6 +32,8 @@ def exact_quantiles(
     ``slice_rows`` values: counted values are distinct, so they can always be told apart.
     """
     spark = df.sparkSession
+    if not columns:
+        return no_quantiles(spark, quantiles)
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     rows = (
         values.unpivot([], list(columns), "column", "value")

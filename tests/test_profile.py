@@ -17,7 +17,9 @@ from starloom.operators import (
     key_uniqueness,
     null_percent,
     pivot_average,
+    quantile_ranks,
     rows_at_max,
+    sketched_quantiles,
     top_n,
 )
 
@@ -136,3 +138,38 @@ def test_sketched_quartiles_are_within_their_error(spark):
     profile = column_profile(df, accuracy=1_000).first()
     for name, p in QUARTILES.items():
         assert abs(profile[name] - p * 100_000) <= 100_000 / 1_000 + 1
+
+
+def test_merged_sketches_keep_their_error(spark):
+    df = spark.range(0, 60_000, 1, 40).select((F.col("id") % 20_000).cast("double").alias("x"))
+    found = sketched_quantiles(df, ["x"], QUARTILES, accuracy=500)
+    for row in quantile_ranks(df, found, list(QUARTILES)).collect():
+        p = QUARTILES[row["quantile"]]
+        assert row.below <= p + 1 / 500 and row.upto >= p - 1 / 500
+
+
+def test_sketches_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1.0), (NAN, 2.0)], "e double, `two of` double")
+    assert tuples(sketched_quantiles(df, ["e", "two of"], QUARTILES)) == [("two of", 1.0, 1.0, 2.0)]
+    assert sketched_quantiles(df.limit(0), ["e"], QUARTILES).count() == 0
+    assert sketched_quantiles(df, [], QUARTILES).count() == 0
+
+
+def test_few_sketches_reach_the_last_task(spark):
+    plan = sketched_quantiles(spark.range(10).select(F.col("id").cast("double").alias("x")), ["x"], {"q": 0.5})
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    # two rounds by groups of tasks come before the task that has them all
+    assert text.count("Exchange hashpartitioning") == 3 and text.count("Exchange SinglePartition") == 1
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_numeric_text_is_profiled_on_request(spark, exact):
+    df = spark.createDataFrame([("1", "a"), ("3", "b"), ("x", None), (None, "c")], "t string, u string")
+    plain = {r["column"]: r for r in column_profile(df, exact=exact).collect()}
+    found = {r["column"]: r for r in column_profile(df, exact=exact, numeric_text=True).collect()}
+    assert plain["t"]["mean"] is None
+    t, u = found["t"], found["u"]
+    assert (t.n_values, t["mean"], t["min"], t["q50"], t["max"], t.min_text, t.max_text) == (
+        3, 2.0, 1.0, 1.0, 3.0, "1", "x",
+    )
+    assert (u.n_values, u["mean"], u["q50"], u.max_text) == (3, None, None, "c")
