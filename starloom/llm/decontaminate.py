@@ -2,7 +2,9 @@
 
 Tokens are canonical: those with a digit become ``<num>``, a unit after one ``<unit>``,
 capitalised words ``<name>``; others are lower-cased without the punctuation
-at their end. Templates are windows of ``window`` canonical tokens; those of the
+at their end. A second form of each text, *folded*, has no ``<name>``: all but numbers and
+units is lower-cased (and ß is ss, as in capitals), so that copies in capitals or without them are found.
+Both forms are looked up; what follows holds for each. Templates are windows of ``window`` canonical tokens; those of the
 benchmark with at least ``literals`` plain tokens are looked up in the documents' windows
 by a hash join. Hits on one diagonal (document position minus item position) cover
 tokens of the item; where these are enough (``half`` of the item, or ``run`` tokens),
@@ -55,14 +57,36 @@ def raw_tokens(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda t: t != "")
 
 
+def _fold(text: Column) -> Column:
+    """Lower case; letters that go through upper case as others are these."""
+    return F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
+def _numbered(text: Column) -> Column:
+    units = "|".join(UNITS)
+    out = F.regexp_replace(text, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<num>")
+    return F.regexp_replace(out, rf"(?i)(?<=<num>\s)(?:{units})(?=[.,;:!?)]*(?:\s|\z))", "<unit>")
+
+
+def _forms(numbered: Column) -> list[Column]:
+    """The canonical and the folded tokens of a text with its numbers replaced."""
+    named = F.regexp_replace(numbered, r"(?<!\S)[^\s\p{L}<]*+\p{Lu}\S*+", "<name>")
+    end = r"(?<=\S)[.,;:!?)\"']+(?=\s|\z)"
+    return [
+        raw_tokens(F.lower(F.regexp_replace(named, end, ""))),
+        raw_tokens(_fold(F.regexp_replace(numbered, end, ""))),
+    ]
+
+
 def canonical_tokens(text: Column) -> Column:
     """As many tokens as ``raw_tokens`` gives."""
-    units = "|".join(UNITS)
-    out = F.regexp_replace(text, r"(?<!\S)\S*[0-9]\S*", "<num>")
-    out = F.regexp_replace(out, rf"(?i)(?<=<num>\s)(?:{units})(?=[.,;:!?)]*(?:\s|\z))", "<unit>")
-    out = F.regexp_replace(out, r"(?<!\S)[^\s\p{L}<]*\p{Lu}\S*", "<name>")
-    out = F.lower(F.regexp_replace(out, r"(?<=\S)[.,;:!?)\"']+(?=\s|\z)", ""))
-    return raw_tokens(out)
+    return _forms(_numbered(text))[0]
+
+
+def _both(text: Column, name: str) -> Column:
+    """Generator of ``folded`` (0 or 1) and the tokens of that form."""
+    forms = _let(_numbered(text), lambda numbered: F.array(*_forms(numbered)))
+    return F.posexplode(forms).alias("folded", name)
 
 
 def _let(value: Column, body) -> Column:
@@ -104,17 +128,27 @@ def _windows(tokens: Column, spec: Spec) -> Column:
     return F.when(count > 0, F.slice(every, F.lit(1), count))
 
 
+def _window_pairs(text: Column, spec: Spec) -> Column:
+    """Windows of both forms: those of the canonical one at even places, folded ones at odd."""
+
+    def pairs(numbered: Column) -> Column:
+        named, folded = (_let(f, lambda tokens: _windows(tokens, spec)) for f in _forms(numbered))
+        return F.flatten(F.zip_with(named, folded, lambda a, b: F.array(a, b)))
+
+    return _let(_numbered(text), pairs)
+
+
 def _is_slot(token: Column) -> Column:
     return token.isin("<num>", "<unit>", "<name>")
 
 
 def _templates(items: DataFrame, spec: Spec) -> DataFrame:
-    """``hash, item, at`` of the benchmark's windows with enough plain tokens."""
+    """``hash, item, folded, at`` of the benchmark's windows with enough plain tokens."""
     return (
-        items.select("item", "tokens", F.posexplode(_windows(F.col("tokens"), spec)))
+        items.select("item", "folded", "tokens", F.posexplode(_windows(F.col("tokens"), spec)))
         .withColumn("own", F.slice("tokens", F.col("pos") + 1, spec.window))
         .where(F.size(F.filter("own", lambda t: ~_is_slot(t))) >= spec.literals)
-        .select(F.col("col").alias("hash"), "item", F.col("pos").alias("at"))
+        .select(F.col("col").alias("hash"), "item", "folded", F.col("pos").alias("at"))
     )
 
 
@@ -128,25 +162,17 @@ def find_leaks(
         benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
         .where("item is not null and text is not null")
         .distinct()
-        .select(
-            "item",
-            canonical_tokens(F.col("text")).alias("tokens"),
-            raw_tokens(F.col("text")).alias("raw"),
-        ),
+        .select("item", raw_tokens(F.col("text")).alias("raw"), _both(F.col("text"), "tokens")),
         "items",
     )
     templates = tables.write(_templates(items, spec), "templates")
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
-    windows = own.select(
-        "key",
-        F.posexplode(
-            _let(canonical_tokens(F.col("text")), lambda tokens: _windows(tokens, spec))
-        ).alias("pos", "hash"),
-    )
+    windows = own.select("key", F.posexplode(_window_pairs(F.col("text"), spec)).alias("pos", "hash"))
     hits = (
         windows.join(templates, "hash")
-        .select("key", "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
-        .groupBy("key", "item", "shift")
+        .where(F.col("pos") % 2 == F.col("folded"))
+        .select("key", "item", "folded", (F.floor(F.col("pos") / 2) - F.col("at")).cast("int").alias("shift"), "at")
+        .groupBy("key", "item", "folded", "shift")
         .agg(F.collect_set("at").alias("starts"))  # at most as many as the item has windows
     )
     hits = tables.write(hits, "hits")
@@ -159,8 +185,8 @@ def find_leaks(
         )
     )
     spans = (
-        hits.join(items, "item")
-        .select("key", "item", "shift", covered.alias("covered"), "tokens", "raw")
+        hits.join(items, ["item", "folded"])
+        .select("key", "item", "folded", "shift", covered.alias("covered"), "tokens", "raw")
         .where(F.size("covered") >= enough)
     )
     texts = own.join(
@@ -168,9 +194,9 @@ def find_leaks(
     )
     texts = texts.select(
         F.col("key").alias("own"),
-        canonical_tokens(F.col("text")).alias("doc_tokens"),
         raw_tokens(F.col("text")).alias("doc_raw"),
-    )
+        _both(F.col("text"), "doc_tokens"),
+    ).withColumnRenamed("folded", "form")
 
     def at(array: str, position: Column) -> Column:
         return F.try_element_at(F.col(array), (position + 1).cast("int"))
@@ -189,18 +215,23 @@ def find_leaks(
     pairs = F.array_distinct("slots")
     left = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["asked"])))
     right = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["found"])))
+    on_own = F.col("key").eqNullSafe(F.col("own")) & (F.col("folded") == F.col("form"))
+    exact = F.forall("slots", lambda s: s["asked"] == s["found"])
     return (
-        spans.join(texts, F.col("key").eqNullSafe(F.col("own")))
+        spans.join(texts, on_own)
         .withColumn("same", same)
         .where(F.size("same") >= enough)
         .withColumn("slots", slots)
         .where(F.size(pairs) * spec.consistent <= F.least(F.size(left), F.size(right)))
-        .groupBy("key", "item")
+        .groupBy("key", "item", "shift")
         .agg(
             F.max(F.size("same")).cast("long").alias("n_matched"),
             F.max(F.size("tokens")).cast("long").alias("n_item_tokens"),
-            F.max(F.forall("slots", lambda s: s["asked"] == s["found"])).alias("exact"),
+            # names are no slots of the folded form, so the other one decides where it hits
+            F.coalesce(F.max(F.when(F.col("folded") == 0, exact)), F.max(exact)).alias("exact"),
         )
+        .groupBy("key", "item")
+        .agg(*[F.max(c).alias(c) for c in ("n_matched", "n_item_tokens", "exact")])
         .select(
             F.col("key").alias(key), F.col("item").alias(item), "n_matched", "n_item_tokens", "exact"
         )
@@ -208,7 +239,7 @@ def find_leaks(
 
 
 def _value(token: Column) -> Column:
-    return F.lower(F.regexp_replace(token, r"(?<=\S)[.,;:!?)\"']+\z", ""))
+    return _fold(F.regexp_replace(token, r"(?<=\S)[.,;:!?)\"']+\z", ""))
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:

@@ -110,6 +110,19 @@ def test_leaks_verbatim_and_with_other_values(spark):
     assert decontaminate.find_leaks(docs_of(spark, rows), benchmark.limit(0)).count() == 0
 
 
+def test_leaks_in_other_case(spark):
+    item = "Der Zug mit Anna fährt 120 km auf großer Straße bis er vor der alten Brücke am Fluss hält"
+    rows = [(1, f"X {item.upper()} Y", "de"), (2, item.lower(), "de"), (3, item, "de"),
+            (4, item.upper().replace("120", "75"), "de"), (5, item.replace("Anna", "Eva"), "de"),
+            (6, " ".join(reversed(item.upper().split())), "de")]
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = decontaminate.find_leaks(docs_of(spark, rows), benchmark).collect()
+    assert {r.doc_id: r.exact for r in got} == {1: True, 2: True, 3: True, 4: False, 5: False}
+    assert all(r.n_matched == r.n_item_tokens == 19 for r in got if r.exact)
+    left = decontaminate.drop_leaked(docs_of(spark, rows), benchmark)
+    assert [r.doc_id for r in left.collect()] == [6]
+
+
 def test_windows_hash_equal_tokens_equally(spark):
     for width in (1, 3, 8, 10, 13):
         spec = decontaminate.Spec(window=width)
