@@ -13,15 +13,22 @@ value of the item stands for one value of the document and the other way round,
 but for a share ``1 - consistent``. So verbatim passages and re-parameterised ones
 are found, and chance templates with contradicting slots are not.
 
+An item whose templates cover too few of its own tokens for that (short ones, those dense
+in numbers and names, text without spaces) is looked up whole: as its sequence of words
+and other characters, case-folded, numbers as they stand, without the punctuation at its
+end; letters of scripts without spaces are words of their own. A sequence is hashed as
+two of the largest power of two within its length, so all lengths share the same hashes.
+
 The benchmark's windows are written first, so that Spark knows their size and
 broadcasts them while they are small; beyond that the join shuffles, and a template
 of many documents is split by AQE. A document's windows leave the task only
 if they hit. Texts are read again for documents with hits alone.
 
-Cases: null or empty texts, and items shorter than a window, hit nothing; repeated
-items are one item each; rows of one key are one document and join
+Cases: null or empty texts hit nothing; an item of one word hits every text with that
+word; repeated items are one item each; rows of one key are one document and join
 their hits; a row with a null key is reported under the null key once; other columns are not
-read. A window whose tokens are nearly all placeholders is never a template.
+read. A window whose tokens are nearly all placeholders is never a template; items made of
+such windows are found only where they stand whole.
 """
 
 from __future__ import annotations
@@ -152,6 +159,96 @@ def _templates(items: DataFrame, spec: Spec) -> DataFrame:
     )
 
 
+def _enough(spec: Spec) -> Column:
+    return F.least(
+        F.lit(spec.run), F.greatest(F.lit(spec.window), F.ceil(F.size("tokens") * spec.half))
+    )
+
+
+def _covered(starts: Column, spec: Spec) -> Column:
+    """The tokens in windows at ``starts``."""
+    return F.array_distinct(
+        F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (spec.window - 1))))
+    )
+
+
+def _words(text: Column) -> Column:
+    """Words and other characters, case-folded."""
+    scripts = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+    alone = "".join(rf"\p{{Is{s}}}" for s in scripts)
+    word = rf"[{alone}]\p{{M}}*|[\p{{L}}\p{{N}}\p{{M}}&&[^{alone}]]+|\S"
+    return F.regexp_extract_all(_fold(text), F.lit(word), F.lit(0))
+
+
+def _sequences(words: Column, lengths: Column, most: int) -> Column:
+    """Hashes of the sequences of ``lengths`` words, none above ``most``."""
+
+    def pair(level: Column, length: Column, shift: Column) -> Column:
+        count = F.greatest(F.size(level) - shift, F.lit(0))
+        return F.zip_with(
+            F.slice(level, F.lit(1), count), F.slice(level, shift + 1, count),
+            lambda a, b: F.xxhash64(length, a, b),
+        )
+
+    def double(levels: Column, span: Column) -> Column:
+        last = _let(F.element_at(levels, -1), lambda level: pair(level, span * 2, span))
+        return F.concat(levels, F.array(last))
+
+    levels = F.array(F.transform(words, lambda w: F.xxhash64(w)))  # of 1, 2, 4 ... words
+    spans = [1 << k for k in range(most.bit_length() - 1)]
+    if spans:
+        levels = F.aggregate(F.array(*map(F.lit, spans)), levels, double)
+
+    def of(levels: Column, length: Column) -> Column:
+        digits = F.length(F.bin(length))
+        shift = length - F.pow(F.lit(2), digits - 1).cast("int")
+        return _let(F.element_at(levels, digits), lambda level: pair(level, length, shift))
+
+    return _let(levels, lambda l: F.array_distinct(F.flatten(F.transform(lengths, lambda n: of(l, n)))))
+
+
+def _whole_leaks(own: DataFrame, items: DataFrame, spec: Spec, tables: Tables) -> DataFrame | None:
+    """Leaks of the items that templates do not cover; None if all are covered."""
+    tokens = F.col("tokens")
+
+    def is_template(start: Column) -> Column:
+        window = F.slice(tokens, start + 1, spec.window)
+        return (F.size(window) == spec.window) & (
+            F.size(F.filter(window, lambda t: ~_is_slot(t))) >= spec.literals
+        )
+
+    # without the first token: after a number of the document it may be a unit there
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))), is_template)
+    bare = F.regexp_replace("text", r"[\s.,;:!?)\"'。，、；：！？」』）]+\z", "")
+    sought = (
+        items.groupBy("item", "text")
+        .agg(
+            F.max(F.size(_covered(starts, spec)) >= _enough(spec)).alias("usable"),
+            F.max(F.size(tokens)).cast("long").alias("n_item_tokens"),
+        )
+        .where(~F.col("usable"))
+        .select("item", "n_item_tokens", _words(F.when(bare == "", F.col("text")).otherwise(bare)).alias("words"))
+        .where("size(words) > 0")
+    )
+    sought = tables.write(sought, "whole-items")
+    lengths = sorted(r.n for r in sought.select(F.size("words").alias("n")).distinct().collect())
+    if not lengths:
+        return None
+    hashed = sought.select(
+        "item", "n_item_tokens", F.explode(_sequences(F.col("words"), F.array(F.size("words")), lengths[-1])).alias("hash")
+    )
+    hashed = tables.write(hashed, "whole-hashes")
+    every = F.array(*map(F.lit, lengths))
+    found = own.select("key", F.explode(_sequences(_words(F.col("text")), every, lengths[-1])).alias("hash"))
+    return (
+        found.join(hashed, "hash")
+        .select(
+            "key", "item", F.col("n_item_tokens").alias("n_matched"), "n_item_tokens", F.lit(True).alias("exact")
+        )
+        .distinct()
+    )
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text",
     item: str = "item_id", item_text: str = "text", spec: Spec = Spec(),
@@ -162,7 +259,7 @@ def find_leaks(
         benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
         .where("item is not null and text is not null")
         .distinct()
-        .select("item", raw_tokens(F.col("text")).alias("raw"), _both(F.col("text"), "tokens")),
+        .select("item", "text", raw_tokens(F.col("text")).alias("raw"), _both(F.col("text"), "tokens")),
         "items",
     )
     templates = tables.write(_templates(items, spec), "templates")
@@ -176,14 +273,8 @@ def find_leaks(
         .agg(F.collect_set("at").alias("starts"))  # at most as many as the item has windows
     )
     hits = tables.write(hits, "hits")
-    enough = F.least(
-        F.lit(spec.run), F.greatest(F.lit(spec.window), F.ceil(F.size("tokens") * spec.half))
-    )
-    covered = F.array_distinct(
-        F.flatten(
-            F.transform("starts", lambda s: F.sequence(s, s + (spec.window - 1)))
-        )
-    )
+    enough = _enough(spec)
+    covered = _covered(F.col("starts"), spec)
     spans = (
         hits.join(items, ["item", "folded"])
         .select("key", "item", "folded", "shift", covered.alias("covered"), "tokens", "raw")
@@ -217,7 +308,7 @@ def find_leaks(
     right = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["found"])))
     on_own = F.col("key").eqNullSafe(F.col("own")) & (F.col("folded") == F.col("form"))
     exact = F.forall("slots", lambda s: s["asked"] == s["found"])
-    return (
+    leaks = (
         spans.join(texts, on_own)
         .withColumn("same", same)
         .where(F.size("same") >= enough)
@@ -230,7 +321,13 @@ def find_leaks(
             # names are no slots of the folded form, so the other one decides where it hits
             F.coalesce(F.max(F.when(F.col("folded") == 0, exact)), F.max(exact)).alias("exact"),
         )
-        .groupBy("key", "item")
+        .drop("shift")
+    )
+    whole = _whole_leaks(own, items, spec, tables)
+    if whole is not None:
+        leaks = leaks.unionByName(whole)
+    return (
+        leaks.groupBy("key", "item")
         .agg(*[F.max(c).alias(c) for c in ("n_matched", "n_item_tokens", "exact")])
         .select(
             F.col("key").alias(key), F.col("item").alias(item), "n_matched", "n_item_tokens", "exact"

@@ -123,6 +123,30 @@ def test_leaks_in_other_case(spark):
     assert [r.doc_id for r in left.collect()] == [6]
 
 
+def test_items_without_templates_are_found_whole(spark):
+    items = ["Wer schrieb Faust?", "On 3 5 1998 Otto sold 12 of 40 to 7 at 2 9",
+             "水の沸点は何度ですか。", "Yes", "3 + 4 = 7", "!?", " "]
+    rows = [(i, f"Before, {t.rstrip('?。')}; after", "de") for i, t in enumerate(items[:5])]
+    rows += [(5, "前文" + items[2] + "後文", "ja"), (6, items[1].upper(), "en"), (7, items[1].replace("Otto", "Ada"), "en"),
+             (8, "wer schrieb den Faust, yesterday? 3 + 4 = 8", "de"), (None, items[0], "de"), (9, None, "de")]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.find_leaks(docs_of(spark, rows), benchmark).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted(
+        [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (6, 1), (None, 0)], key=str)
+    assert all(r.exact and r.n_matched == r.n_item_tokens for r in got)
+    left = decontaminate.drop_leaked(docs_of(spark, rows), benchmark)
+    assert sorted(r.doc_id for r in left.collect()) == [7, 8, 9]
+
+
+def test_sequences_hash_equal_words_equally(spark):
+    words = [f"w{i % 4}" for i in range(21)]
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    lengths = [1, 2, 3, 5, 8, 13, 21, 30]
+    own = decontaminate._sequences(F.col("w"), F.array(*map(F.lit, lengths)), 30)
+    want = {tuple(words[i : i + n]) for n in lengths for i in range(len(words) - n + 1)}
+    assert len(df.select(own).first()[0]) == len(want)
+
+
 def test_windows_hash_equal_tokens_equally(spark):
     for width in (1, 3, 8, 10, 13):
         spec = decontaminate.Spec(window=width)
