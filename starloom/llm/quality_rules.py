@@ -1,17 +1,19 @@
 """Quality rules with risk-controlled thresholds.
 
 Each rule rejects documents on one side of a cutoff of one rate. The cutoffs are
-not set by hand: per stratum (the language) and rule, labelled good documents
-decide. From the most lenient cutoff of a fixed grid on, a cutoff is accepted
-while an exact binomial test shows that it rejects at most ``risk / rules`` of
-the good documents, and the strictest accepted one holds. The tests of a grid
-run in fixed sequence, so they share one error level; strata and rules divide
-``error`` (Bonferroni). Hence, with probability ``1 - error``, no stratum loses
-more than ``risk`` of its good documents to the rules. A stratum with too few
-labels gets no cutoff, and its documents pass.
-
-Labels are counted per stratum, rule and cutoff before anything is gathered: one
-row per stratum. Cases: a null or empty text has zero counts and fails the base
+not set by hand: per stratum (the language) labelled good documents decide. A fifth
+of them, by a hash of the key, puts the steps of all rules' grids into one
+sequence: those first that reject the fewest of this fifth, lenient ones before strict ones.
+The other four fifths test the sequence: step after step is taken while an exact binomial
+test shows that all rules together reject at most ``risk`` of the good documents. The
+order does not depend on the documents that test it, so the tests of a stratum share one
+error level; strata divide ``error`` (Bonferroni). Hence, with probability
+``1 - error``, no stratum loses more than ``risk`` of its good documents to the rules. A stratum with
+too few labels gets no cutoff, and its documents pass: with 4 strata it takes 217
+labelled good documents to test (some 271 in all), with 10 strata 263 (329), with 100 377 (471).
+
+Labels are counted per stratum and first rejecting cutoffs before anything is gathered:
+a stratum has at most as many rows as there are combinations of cutoffs. Cases: a null or empty text has zero counts and fails the base
 rules; a null stratum is a stratum of its own; a document labelled more than once
 is good only if all its labels say so; repeated documents are judged, and counted
 as labelled rows, one by one; columns of the input named like ours are replaced.
@@ -101,6 +103,30 @@ def choose_cutoff(cutoffs, rejected, n: int, risk: float, error: float) -> float
     return chosen
 
 
+def choose_together(lengths, firsts, counts, orders, risk: float, error: float) -> list[int]:
+    """How many cutoffs of each rule are taken, so that together they keep the risk.
+
+    ``firsts`` has, per row, the first cutoff of each rule that rejects (its length: none does),
+    ``counts`` the documents of the row, ``orders`` whether they order or test.
+    """
+    steps = sorted(
+        (int(counts[orders & (firsts[:, r] <= i)].sum()), i, r)
+        for r, length in enumerate(lengths)
+        for i in range(length)
+    )
+    at = [np.full(length + 1, len(steps)) for length in lengths]
+    for k, (_, i, r) in enumerate(steps):
+        at[r][i] = k
+    first = np.min([of[firsts[:, r]] for r, of in enumerate(at)], axis=0)
+    tests = ~orders
+    rejected = np.bincount(first[tests], counts[tests], len(steps) + 1)[:-1].cumsum().round().astype(int)
+    last = choose_cutoff(range(len(steps)), rejected, int(counts[tests].sum()), risk, error)
+    taken = [0] * len(lengths)
+    for _, i, r in steps[: 0 if last is None else last + 1]:
+        taken[r] = i + 1
+    return taken
+
+
 def fit_cutoffs(
     measured: DataFrame,
     labels: DataFrame,
@@ -122,36 +148,37 @@ def fit_cutoffs(
         .agg(F.min(label).alias("_good"))
         .where("_good = 1")
     )
-    hits = [
-        F.count_if(rule.rejects(cutoff, "_m")).alias(f"{rule.name}_{i}")
+    names = [rule.name for rule in rules]
+    # the cutoffs that do not reject; the next one is the first that does
+    levels = [
+        sum(F.when(rule.rejects(cutoff, "_m"), 0).otherwise(1) for cutoff in rule.cutoffs).alias(rule.name)
         for rule in rules
-        for i, cutoff in enumerate(rule.cutoffs)
     ]
+    orders = F.pmod(F.xxhash64(good["_key"].cast("string")), F.lit(5)) == 0
     counted = (
         measured.where(~F.col("base_failed"))
         .join(good, measured[key] == good["_key"])
-        .groupBy(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))
-        .agg(F.count(F.lit(1)).alias("n_good"), *hits)
+        .select(
+            F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), orders.alias("orders"), *levels
+        )
+        .groupBy("stratum", "orders", *names)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     counted = Tables(measured.sparkSession).write(counted, "quality-counts")
-    level = error / (len(rules) * max(1, counted.count()))
-
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = batch[["stratum", "n_good"]].copy()
-            for rule in rules:
-                grid = batch[[f"{rule.name}_{i}" for i in range(len(rule.cutoffs))]].to_numpy()
-                out[rule.name] = np.array(
-                    [
-                        choose_cutoff(rule.cutoffs, row, n, risk / len(rules), level)
-                        for row, n in zip(grid, batch["n_good"], strict=True)
-                    ],
-                    dtype=float,
-                )
-            yield out
+    level = error / max(1, counted.select("stratum").distinct().count())
+
+    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        chosen = choose_together(
+            [len(rule.cutoffs) for rule in rules], rows[names].to_numpy(), rows["n"].to_numpy(),
+            rows["orders"].to_numpy(bool), risk, level,
+        )
+        out = {"stratum": rows["stratum"].iloc[0], "n_good": rows["n"].sum()}
+        for rule, taken in zip(rules, chosen, strict=True):
+            out[rule.name] = rule.cutoffs[taken - 1] if taken else np.nan
+        return pd.DataFrame([out])
 
     schema = "stratum string, n_good long, " + ", ".join(f"{r.name} double" for r in rules)
-    chosen = counted.mapInPandas(decide, schema)
+    chosen = counted.groupBy("stratum").applyInPandas(decide, schema)
     return chosen.withColumns({r.name: F.nanvl(r.name, F.lit(None)) for r in rules})
 
 

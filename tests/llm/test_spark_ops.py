@@ -204,6 +204,29 @@ def test_quality_rules_follow_the_labels(spark):
     assert quality_rules.keep_good(docs, labels.limit(0)).count() == 1552
 
 
+def test_strata_of_some_hundred_labels_get_cutoffs(spark):
+    rng = random.Random(5)
+    good, bad = [], []
+    for at, lang in enumerate(("en", "de", "fr", "es")):
+        own = [(1000 * at + i, " ".join(f"w{rng.randrange(900)}" for _ in range(60)), lang) for i in range(320)]
+        good += own
+        bad += [(1000 * at + 500 + i, t.replace(" ", "$$ "), lang) for i, (_, t, _) in enumerate(own[:5])]
+    few = [(9000 + i, t, None) for i, t, _ in good[:200]]  # too few for a test
+    docs = docs_of(spark, [*good, *bad, *few])
+    labels = spark.createDataFrame([(i, 1) for i, *_ in [*good, *few]], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, labels).collect()}
+    assert all(got[i] for i, *_ in [*good, *few]) and not any(got[i] for i, *_ in bad)
+
+
+def test_rules_together_keep_the_risk():
+    # rule 0 rejects nobody, each cutoff of rule 1 one per cent more
+    firsts = np.array([[2, 4], *[[2, i] for i in range(4)]])
+    firsts, counts = np.vstack([firsts, firsts]), np.array([192, 2, 2, 2, 2] + [9600, 100, 100, 100, 100])
+    orders = np.arange(10) < 5
+    assert quality_rules.choose_together([2, 4], firsts, counts, orders, 0.03, 0.05) == [2, 2]
+    assert quality_rules.choose_together([2, 4], firsts, counts // 50, orders, 0.03, 0.001) == [0, 0]
+
+
 def test_classifier_orders_documents(spark):
     rows = [(i, f"good words number {i} " * 20 if i % 2 else "junk$$$ " * 60, "en") for i in range(80)]
     docs = docs_of(spark, [*rows, *AWKWARD])
