@@ -6,8 +6,8 @@ empty lines, as in a page's own source. The text lengths over a sliding window o
 lines form a curve: it *surges* where a window rises above the threshold and *dives*
 where a window is empty again; text between a surge and the next dive is kept. A page
 with an ``article`` or ``main`` has its text there, so lines outside count as gaps and
-any text inside surges. On other pages a stretch must reach a share of the page's
-highest window, and the text of links does not count.
+any text inside surges. On other pages a stretch must reach a fixed few characters in
+some window, or the page's highest window if that is lower, and the text of links does not count.
 
 Cases: a null or empty page, or one without text, has the empty string; elements
 that are never closed end with the page, chrome also where the article begins; repeated
@@ -71,8 +71,7 @@ _NAMED = re.compile(
 @dataclass(frozen=True)
 class Spec:
     window: int = 3
-    share: float = 0.25  # of the highest window, for pages without article or main
-    least: int = 40  # characters that a window of such pages surges at
+    least: int = 40  # characters that a window surges at, for pages without article or main
 
 
 def _is_chrome(name: str, attributes: str) -> bool:
@@ -192,8 +191,7 @@ def kept_lines(rows: list[tuple[str, int, bool]], marked: bool, spec: Spec) -> l
         total += weight - (weights[i - width] if i >= width else 0)
         sums.append(total)
     if not marked:
-        surge = min(max(sums, default=0), max(spec.least, int(spec.share * max(sums, default=0))))
-        surge = max(surge, 1)
+        surge = max(1, min(max(sums, default=0), spec.least))
     out: list[str] = []
     start = 0
     while start < len(rows):

@@ -131,6 +131,13 @@ def test_pages_without_article_keep_the_high_stretch():
     assert html_text.main_text("plain words") == "plain words"
 
 
+def test_a_long_paragraph_does_not_hide_the_others():
+    some = "".join(f"<p>{i} {'ordinary text ' * 21}</p>" for i in range(5))
+    page = f"<div><p>{'x' * 6000}</p><div class=ad>buy</div>{some}<form>sign</form><p>{'a short one ' * 5}</p></div>"
+    out = html_text.main_text(page).split("\n")
+    assert [len(x) for x in out] == [6000, *[295] * 5, 59]
+
+
 def test_page_of_open_tags_is_quick():
     page = "<article>" + "<div class=x>" * 20_000 + "a" + "<p>b" * 20_000
     assert html_text.main_text(page).startswith("a\nb")
