@@ -10,7 +10,8 @@ any text inside surges. On other pages a stretch must reach a fixed few characte
 some window, or the page's highest window if that is lower, and the text of links does not count.
 
 Cases: a null or empty page, or one without text, has the empty string; elements
-that are never closed end with the page, chrome also where the article begins; repeated
+that are never closed end with the page, chrome also where the article begins, and chrome whose
+end tag may be left out (``p``, ``li``, ``td``, ``head`` ...) where HTML ends it; repeated
 rows are read one by one.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +54,29 @@ CHROME_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar"
     " toolbar".split()
 )
+_SCOPE = (BLOCKS | {"button", "object", "select"}) - {"address", "div", "p"}
+_ROWS = frozenset("tr tbody thead tfoot".split())
+#: Elements whose end tag may be left out: the start tags that end them, and the elements
+#: that keep a start tag inside from doing so.
+OMITTED = {
+    "p": (BLOCKS - {"html", "legend", "title"}, frozenset({"button", "object"})),
+    "li": (frozenset({"li"}), _SCOPE - {"li"}),
+    "dt": (frozenset({"dt", "dd"}), _SCOPE - {"dt", "dd"}),
+    "dd": (frozenset({"dt", "dd"}), _SCOPE - {"dt", "dd"}),
+    "td": (_ROWS | {"td", "th"}, frozenset({"table"})),
+    "th": (_ROWS | {"td", "th"}, frozenset({"table"})),
+    "tr": (_ROWS, frozenset({"table"})),
+    "tbody": (_ROWS - {"tr"}, frozenset({"table"})),
+    "thead": (_ROWS - {"tr"}, frozenset({"table"})),
+    "tfoot": (_ROWS - {"tr"}, frozenset({"table"})),
+    "caption": (_ROWS | {"td", "th", "col", "colgroup"}, frozenset({"table"})),
+    "option": (frozenset({"option", "optgroup"}), frozenset()),
+    "optgroup": (frozenset({"optgroup"}), frozenset()),
+    "rt": (frozenset({"rt", "rp"}), frozenset({"ruby"})),
+    "rp": (frozenset({"rt", "rp"}), frozenset({"ruby"})),
+}
+_IN_HEAD = frozenset("html head base basefont bgsound link meta".split())
+_PARENTS = (BLOCKS | {"body", "ruby"}) - {"p"}  # their end tags end what is open within
 _REPLIES = re.compile(r"comment|repl(?:y|ies)|discuss|disqus|respond|related|recommend", re.I)
 _GAP = 3  # empty lines that chrome leaves, as many as a window has
 
@@ -90,6 +115,38 @@ def _is_chrome(name: str, attributes: str) -> bool:
     return False
 
 
+class _Omitted:
+    """An element being skipped whose end tag may be left out: what is open in it."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.starts, self.barriers = OMITTED.get(name, (frozenset(), frozenset()))
+        self.stack: list[str] = []
+        self.n_open: Counter[str] = Counter()
+        self.barred = 0
+
+    def ends(self, name: str, closing: bool, empty: bool, outer: Counter[str]) -> bool:
+        """Whether this tag ends the element; takes note of it if not."""
+        if not closing:
+            if self.name == "head":
+                return name not in _IN_HEAD
+            if name in self.starts and not self.barred:
+                return True
+            if not empty:
+                self.stack.append(name)
+                self.n_open[name] += 1
+                self.barred += name in self.barriers
+            return False
+        if self.n_open[name]:
+            inner = None
+            while inner != name:
+                inner = self.stack.pop()
+                self.n_open[inner] -= 1
+                self.barred -= inner in self.barriers
+            return False
+        return name == self.name or (name in _PARENTS and outer[name] > 0)
+
+
 def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """``(text, characters outside links, inside content)`` of each line of a page, and
     whether the page marks its content. Chrome leaves ``_GAP`` empty lines."""
@@ -102,6 +159,8 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     chrome: str | None = None  # the element we are skipping, and how often it is open
     replies = False  # it holds articles of its own
     depth = 0
+    omitted: _Omitted | None = None  # the same element, if its end tag may be left out
+    outer: Counter[str] = Counter()  # blocks open outside of it
     at = 0
 
     def text(piece: str) -> None:
@@ -136,8 +195,13 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             continue  # a comment, a declaration
         closing = bool(found.group(1) or found.group(4))
         attributes = found.group(3) or found.group(6) or ""
+        empty = name in VOID or attributes.endswith("/")
+        if omitted is not None and name not in RAW and omitted.ends(name, closing, empty, outer):
+            ended, chrome, omitted = chrome, None, None
+            if closing and name == ended:
+                continue
         if chrome is not None and name not in RAW:
-            if name == chrome and not attributes.endswith("/"):
+            if omitted is None and name == chrome and not attributes.endswith("/"):
                 depth += -1 if closing else 1
                 if depth == 0:
                     chrome = None
@@ -146,7 +210,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             if closing or replies or name not in CONTENT or _is_chrome(name, attributes):
                 if not (name == "body" and chrome == "head"):
                     continue
-            chrome = None
+            chrome = omitted = None
         if name in RAW:
             if not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE)
@@ -161,16 +225,21 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             text(" ")
         if name == "a":
             link_depth = max(0, link_depth + (-1 if closing else 1))
-        if closing or name in VOID or attributes.endswith("/"):
+        if closing or empty:
             if closing and name in CONTENT:
                 content = max(0, content - 1)
+            if closing and outer[name]:
+                outer[name] -= 1
             continue
         if _is_chrome(name, attributes):
             end_line()
             gap()
             chrome, depth = name, 1
+            omitted = _Omitted(name) if name in OMITTED or name == "head" else None
             replies = name == "aside" or bool(_REPLIES.search(attributes))
             continue
+        if name in _PARENTS:
+            outer[name] += 1
         if name in CONTENT:
             content += 1
             marked = True

@@ -138,6 +138,31 @@ def test_a_long_paragraph_does_not_hide_the_others():
     assert [len(x) for x in out] == [6000, *[295] * 5, 59]
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><p class=notice>no<p>one</p><p>two</p></article>out", "one\ntwo"),
+        ("<article><p class=ad>no <b>no</b><div>one</div>two</article>", "one\ntwo"),
+        ("<article><p class=ad>no</p>one</article>", "one"),
+        ("<article><ul><li class=ad>no<ul><li>no</ul>no<li>one</ul>two</article>", "one\ntwo"),
+        ("<article><div><p class=ad>no</div>one</article>", "one"),
+        ("<article><table><tr><td class=ad>no<table><tr><td>no</table>no<td>one<tr><td>two</table>", "one\ntwo"),
+        ("<article><table><tr class=ad><td>no<td>no<tr><td>one</table>two</article>", "one\ntwo"),
+        ("<article><dl><dt class=ad>no<dd>one</dl>two</article>", "one\ntwo"),
+        ("<article>one<p class=ad>no</article><p>out", "one"),
+        ("<head><title>no</title><meta name=x><p>one", "one"),
+        ("<article><div class=ad><p>no<p>no</div>one</article>", "one"),
+    ],
+)
+def test_skipped_elements_without_end_tags(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_skipped_element_of_open_tags_is_quick():
+    page = "<article><li class=ad>" + "<b><div>" * 20_000 + "</i></div>" * 20_000 + "<li>a"
+    assert html_text.main_text(page) == "a"
+
+
 def test_page_of_open_tags_is_quick():
     page = "<article>" + "<div class=x>" * 20_000 + "a" + "<p>b" * 20_000
     assert html_text.main_text(page).startswith("a\nb")
