@@ -12,13 +12,16 @@ from . import (
     byte_bpe,
     chat_format,
     decontaminate,
+    fingerprints,
     html_text,
     language_id,
     near_dedup,
     quality_classifier,
     quality_rules,
     sharding,
+    vector_codes,
     warc,
+    whitening,
 )
 from .stage import documents, held_out, ship
 
@@ -92,6 +95,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edits(documents(spark, sf_dir))
+    prints = ("fingerprint", "edited_fingerprint")
+    in_lines = {c: F.base64(c) for c in prints}
+    return found.withColumns({c: F.replace(v, F.lit("\r\n"), F.lit("")) for c, v in in_lines.items()})
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -104,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html_text, op2_sharding, op3_near_dedup, op4_decontaminate, op5_byte_bpe,
         op6_language_id, op7_quality_rules, op8_chat_format, op9_warc, op10_quality_classifier,
+        op11_vector_codes, op12_whitening, op13_fingerprints,
     )
     return {query.__name__: _shipped(query) for query in found}
 
@@ -137,5 +156,54 @@ _WARC_SQL = """
     from planned"""
 
 
+def _codes_sql() -> str:
+    """All entries are compared with all parts, round by round."""
+    spec = vector_codes.Spec()
+    nearest = """
+        near{i} as materialized (
+            select n, p, arg_min(e, d * 1000 + e) e, min(d) d
+            from (select x.n, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint d
+                  from parts x join books{i} b on x.p = b.p) q
+            group by n, p)"""
+    updated = """
+        means{j} as (
+            select p, e, list(m order by i) v
+            from (select a.p, a.e, g.i, cast(floor(sum(x.v[g.i]) / count(*)) as bigint) m
+                  from near{i} a join parts x on x.n = a.n and x.p = a.p,
+                       (select unnest(range(1, len(v) + 1)) i from (select v from parts limit 1) w) g
+                  group by 1, 2, 3) q
+            group by p, e),
+        books{j} as materialized (
+            select b.p, b.e, coalesce(m.v, b.v) v
+            from books{i} b left join means{j} m on m.p = b.p and m.e = b.e)"""
+    rounds = [nearest.format(i=0)]
+    for i in range(spec.rounds):
+        rounds += [updated.format(i=i, j=i + 1), nearest.format(i=i + 1)]
+    return f"""
+        with whole as materialized (
+            select vec_id, label, row_number() over (order by vec_id nulls last) n,
+                   list_transform(embedding, lambda c: floor({spec.scale} * c::double)::bigint) x
+            from embeddings
+            where len(embedding) > 0
+              and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+        parts as materialized (
+            select n, p, x[p * (len(x) // {spec.parts}) + 1 : (p + 1) * (len(x) // {spec.parts})] v
+            from whole, range({spec.parts}) r(p)),
+        books0 as (select p, n - 1 e, v from parts where n <= {spec.entries}),
+        {",".join(rounds)},
+        coded as (
+            select n, string_agg(printf('%02x', e), '' order by p) code, sum(d)::bigint error
+            from near{spec.rounds} group by n),
+        digest as (
+            select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) h
+            from books{spec.rounds})
+        select vec_id, code, error,
+               sum(error) over (partition by label)::bigint label_error, h codebooks_sha256
+        from whole join coded using (n), digest"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": _sharding_sql(), "op9_warc": _WARC_SQL}
+    return {
+        "op2_sharding": _sharding_sql(), "op9_warc": _WARC_SQL, "op11_vector_codes": _codes_sql(),
+    }
