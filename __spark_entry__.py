@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 from pathlib import Path
 
@@ -20,19 +21,25 @@ import standin  # noqa: E402
 from standin import SPECS, with_views  # noqa: E402
 from starloom import SinkSpec, SourceSpec, StarSpec, operators  # noqa: E402
 from starloom.functions import is_blank, iso_date, outside, parse_date  # noqa: E402
-from starloom.plans import analyses, dimensions  # noqa: E402
+from starloom.plans import analyses, dimensions, monthly  # noqa: E402
 from starloom.plans import star as star_plan  # noqa: E402
-from starloom.plans.arrivals import MEASURES, SINKS  # noqa: E402
+from starloom.plans.arrivals import MEASURES, RACES, SINKS  # noqa: E402
 from starloom.scratch import scratch_folder, settle  # noqa: E402
-from starloom.sources import read_source, write_table  # noqa: E402
-
-# The training-data operators are a part that may be absent.
+from starloom.sources import (  # noqa: E402
+    load_all_observed,
+    publish,
+    read_source,
+    write_table,
+)
+from starloom.sources import load_sources as load_source_specs  # noqa: E402
+
+# The training-data operators are a part that may be absent, or lack a library they need.
 try:
     import corpus_pipeline
     from starloom.llm import queries as llm_queries
-except ModuleNotFoundError as error:
+except ImportError as error:
     if error.name not in ("corpus_pipeline", "starloom.llm"):
-        raise
+        print(f"without the training-data operators: {error}", file=sys.stderr)
     LLM, LLM_SQL = {}, {}
 else:
     LLM = llm_queries.queries() | {"pipeline": corpus_pipeline.run}
@@ -96,15 +103,11 @@ def _dimension(name: str, spec: StarSpec = STAR):
     return query
 
 
-def _fact_and(dim: str, spec: StarSpec, spark: SparkSession, sf_dir: str, *more: str):
-    """One dimension, and a fact of the columns that belong to it."""
+def _counted(dim: str, spec: StarSpec, spark: SparkSession, sf_dir: str, *by: str):
+    """One dimension, and the counted keys that it and its analysis come from."""
+    more = (*by, "i94bir")
     inputs = _star_inputs(spark, sf_dir, dim, more=more)
-    # Dimension and fact both read the arrivals: join their few columns once.
-    inputs["arrivals"] = settle(inputs["arrivals"])
-    return {
-        dim: star_plan.dimension(dim, inputs, spec),
-        "fact": _fact(inputs["arrivals"], spec),
-    }
+    return star_plan.build_counted(inputs, spec, [dim], {dim: by})
 
 
 def _fact(arrivals: DataFrame, spec: StarSpec) -> DataFrame:
@@ -130,15 +133,39 @@ def scan_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _csv_specs(spark: SparkSession, sf_dir: str, **casts) -> dict[str, SourceSpec]:
+    """The five sources as CSV files in the shared folder, and their specs."""
+    folder = scratch_folder(spark)
+    specs = {}
+    for name, raw in standin.RAW.items():
+        spec = replace(SPECS[name], path=f"{folder}/{name}.csv")
+        raw(spark, sf_dir).write.csv(spec.path, header=True, sep=spec.sep)
+        specs[name] = replace(spec, casts=dict(spec.casts) | casts.get(name, {}))
+    return specs
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [
         df.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("n_rows"))
-        for name, df in standin.sources(spark, sf_dir).items()
+        for name, df in load_source_specs(spark, _csv_specs(spark, sf_dir)).items()
     ]
-    result = counts[0]
-    for df in counts[1:]:
-        result = result.unionByName(df)
-    return result
+    return reduce(DataFrame.unionByName, counts)
+
+
+def observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read and values lost per source, from the pass that parses it; rows after cleaning."""
+    wrong = {"arrivals": {"visapost": "int", "entdepd": "float"}, "codes": {"country": "int"}}
+    loaded = load_all_observed(spark, _csv_specs(spark, sf_dir, **wrong))
+    counts = [
+        source.df.agg(
+            F.lit(name).alias("source"),
+            F.lit(source.n_read).cast("long").alias("n_read"),
+            F.lit(source.n_lost).cast("long").alias("n_lost"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
+        for name, source in loaded.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _as_csv(df: DataFrame, columns: dict[str, str], sep: str) -> DataFrame:
@@ -168,6 +195,14 @@ def csv_scan_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_csv(standin.table(spark, sf_dir, "customer"), columns, ";")
 
 
+def csv_scan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan without a schema: every column is text."""
+    path = f"{scratch_folder(spark)}/table.csv"
+    columns = ["s_suppkey", "s_name", "s_nationkey"]
+    standin.table(spark, sf_dir, "supplier").select(*columns).write.csv(path, header=True)
+    return read_source(spark, SourceSpec(path=path))
+
+
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = star_plan.fact_table(_arrivals(spark, sf_dir), STAR)
     name, partitions = SINKS["fact"]
@@ -301,8 +336,25 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def distinct_sketched_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether distinct counts from stored monthly sketches lie within five standard errors."""
+    columns = ["cicid", "i94port", "fltno", "occup"]
+    raw = settle(standin.raw_arrivals(spark, sf_dir, ["i94yr", "i94mon", *columns]))
+    sketches = settle(operators.distinct_sketches(raw, columns, ["i94yr", "i94mon"]))
+    found = operators.merged_distinct_counts(sketches, columns)
+    exact = operators.distinct_counts(raw, columns).withColumnRenamed("n_distinct", "n_exact")
+    error = F.abs(F.col("n_distinct") - F.col("n_exact")) / F.col("n_exact")
+    months = sketches.agg(F.count(F.lit(1)).alias("n_months"))
+    return (
+        found.join(exact, "column")
+        .crossJoin(F.broadcast(months))  # one row
+        .select("column", "n_months", (error <= 5 * 1.04 / 2**7).alias("within_error"))
+    )
+
+
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = standin.raw_arrivals(spark, sf_dir)
+    # exact quartiles scan several times: join the tables behind the arrivals once
+    raw = settle(standin.raw_arrivals(spark, sf_dir))
     return _rounded(operators.column_profile(raw, exact=True))
 
 
@@ -390,32 +442,103 @@ def star_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def star_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A star published, then one refused by its check: the rows of the first stay."""
+    star = _star(spark, sf_dir, STAR)
+    folder = scratch_folder(spark)
+    sinks = {name: SinkSpec(folder, table, by) for name, (table, by) in SINKS.items()}
+    published = publish(star, sinks)
+
+    def refuse(staged: dict[str, DataFrame]) -> None:
+        star_plan._require_rows(staged, dict.fromkeys(staged, 1))
+
+    try:
+        publish({name: df.limit(0) for name, df in star.items()}, sinks, refuse)
+        outcome = "published"
+    except ValueError:
+        outcome = "refused"
+    return star_plan.star_counts(published).withColumn("second", F.lit(outcome))
+
+
+def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrivals in two loads by month, the second one twice: rows per month of the fact,
+    rows and keyed rows of the dimensions."""
+    arrivals = settle(_arrivals(spark, sf_dir))
+    sources = {name: settle(_source(name, spark, sf_dir)) for name in standin.RAW if name != "arrivals"}
+    folder = scratch_folder(spark)
+    sinks = {name: SinkSpec(folder, table, by) for name, (table, by) in SINKS.items()}
+    sinks = monthly.monthly_sinks(sinks)
+    late = F.coalesce(F.col("i94mon") > 6, F.lit(False))
+    for part in (~late, late, late):
+        star = monthly.load_months(arrivals.where(part), sources, STAR, sinks)
+    keys = star_plan.dimension_keys(STAR)
+    counts = [
+        df.groupBy(*([F.lit(None).cast("int").alias(c) for c in monthly.MONTH] if name != "fact" else monthly.MONTH))
+        .agg(
+            F.lit(name).alias("table"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(keys.get(name, STAR.state_key)).alias("n_keyed"),
+        )
+        for name, df in star.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def state_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals by state where the dimension says ASIA, from the written star."""
+    star = _star(spark, sf_dir, STAR, "i94bir")
+    folder = scratch_folder(spark)
+    sinks = {name: SinkSpec(folder, table, by) for name, (table, by) in SINKS.items()}
+    written = publish({name: star[name] for name in ("demographics", "fact")}, sinks)
+    rows = star_plan.state_slice(written, STAR, F.col("State") == "ASIA")
+    return _rounded(
+        rows.groupBy("state_code", "State").agg(
+            F.count(F.lit(1)).alias("n_arrivals"), F.avg("i94bir").alias("mean_age")
+        )
+    )
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per fault, and accepted ones: a cast that fails, and keys without a dimension row."""
+    star = _star(spark, sf_dir, STAR, "occup")
+    dims = {
+        key: (star[name], key)
+        for name, key in star_plan.dimension_keys(STAR).items()
+        if name in ("country", "demographics")
+    }
+    split = operators.quarantine(star["fact"], {"occup": "int"}, dims)
+    accepted = split.accepted.agg(F.lit("accepted").alias("fault"), F.count(F.lit(1)).alias("n_rows"))
+    return split.by_reason().unionByName(accepted)
+
+
 def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_plan.audit_keys(_star(spark, sf_dir, STAR), STAR)
+    dims, counted = star_plan.build_counted(_star_inputs(spark, sf_dir, *KEY_COLUMNS, more=("i94bir",)), STAR)
+    return star_plan.audit_keys(dims, STAR, counted)
 
 
 def arrivals_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.arrivals_over_time(_fact_and("date", STAR, spark, sf_dir), STAR)
+    dims, counted = _counted("date", STAR, spark, sf_dir)
+    return analyses.arrivals_over_time(dims, STAR, counted=counted)
 
 
 def arrivals_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.arrivals_over_time(
-        _fact_and("date", STAR, spark, sf_dir), STAR, by=["weekday"]
-    )
+    dims, counted = _counted("date", STAR, spark, sf_dir)
+    return analyses.arrivals_over_time(dims, STAR, by=["weekday"], counted=counted)
 
 
 def arrivals_vs_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _fact_and("demographics", STAR, spark, sf_dir, "i94bir")
-    return _rounded(analyses.arrivals_by_state(star, STAR))
+    dims, counted = _counted("demographics", STAR, spark, sf_dir)
+    return _rounded(analyses.arrivals_by_state(dims, STAR, counted))
 
 
 def arrivals_vs_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(analyses.arrivals_by_origin(_fact_and("country", STAR, spark, sf_dir), STAR))
+    dims, counted = _counted("country", STAR, spark, sf_dir)
+    return _rounded(analyses.arrivals_by_origin(dims, STAR, counted))
 
 
 def airport_airline_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _fact_and("airport", UNIQUE, spark, sf_dir, "airline")
-    return analyses.airports_and_airlines(star, UNIQUE)
+    dims, counted = _counted("airport", UNIQUE, spark, sf_dir, "airline")
+    return analyses.airports_and_airlines(dims, UNIQUE, counted)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -429,8 +552,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_dispatch": scan_dispatch,
         "csv_scan": csv_scan,
         "csv_scan_semicolon": csv_scan_semicolon,
+        "csv_scan_text": csv_scan_text,
         "sink_roundtrip": sink_roundtrip,
         "load_sources": load_sources,
+        "observed_checks": observed_checks,
         "cast_columns": cast_columns,
         "cast_losses": cast_losses,
         "drop_columns": drop_columns,
@@ -446,6 +571,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_keys": distinct_keys,
         "distinct_key_sets": distinct_key_sets,
         "distinct_counts": distinct_counts,
+        "distinct_sketched_by_month": distinct_sketched_by_month,
         "distinct_values": distinct_values,
         "duplicate_count": duplicate_count,
         "key_uniqueness": key_uniqueness,
@@ -467,6 +593,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "star_join": star_join,
         "star_summary": star_summary,
         "star_roundtrip": star_roundtrip,
+        "star_publish": star_publish,
+        "monthly_load": monthly_load,
+        "state_slice": state_slice,
+        "rejected_rows": rejected_rows,
         "fk_audit": fk_audit,
         "arrivals_by_month": arrivals_by_month,
         "arrivals_by_weekday": arrivals_by_weekday,
@@ -514,17 +644,10 @@ def _union(template: str, names) -> str:
 
 
 def _city_sql(zero: str) -> str:
-    races = {
-        "RaceCountHispLatAvg": "Hispanic or Latino",
-        "RaceCountWhiteAvg": "White",
-        "RaceCountAsianAvg": "Asian",
-        "RaceCountBlackAfrAvg": "Black or African-American",
-        "RaceCountNativeAvg": "American Indian and Alaska Native",
-    }
     columns = [f"""round(avg("{m}"), 6) "{m.replace(' ', '')}Avg\"""" for m in MEASURES]
     columns += [
         f"""round(avg(case when "Race" = '{race}' then "Count" {zero} end), 6) "{name}\""""
-        for name, race in races.items()
+        for name, race in RACES.items()
     ]
     return f"""select "State Code", "State", "City", {", ".join(columns)}
                from demographics group by 1, 2, 3"""
@@ -674,6 +797,27 @@ def oracle_sql() -> dict[str, str]:
                    strftime(o_orderdate, '%Y-%m-%d') o_orderdate, o_orderpriority from orders""",
         "csv_scan_semicolon": """
             select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer""",
+        "csv_scan_text": """
+            select cast(s_suppkey as varchar) s_suppkey, s_name,
+                   cast(s_nationkey as varchar) s_nationkey from supplier""",
+        "observed_checks": with_views(
+            _union(
+                """select '{name}' source, (select count(*) from raw_{name}) n_read, case '{name}'
+                          when 'arrivals' then (select count(visapost) + count(entdepd) from raw_arrivals)
+                          when 'codes' then (select count(country) from raw_codes) else 0 end n_lost,
+                          (select count(*) from {name}) n_rows""",
+                sources,
+            ),
+            *sources,
+        ),
+        "distinct_sketched_by_month": with_views(
+            _union(
+                """select '{name}' "column", count(distinct (i94yr, i94mon)) n_months,
+                          true within_error from raw_arrivals""",
+                ("cicid", "i94port", "fltno", "occup"),
+            ),
+            "raw_arrivals",
+        ),
         "table_checks": with_views(_union(table_check, sources), *sources),
         "top_n": with_views(
             'select * from raw_demographics order by "Median Age" desc, "Count" limit 5',
@@ -727,6 +871,57 @@ def oracle_sql() -> dict[str, str]:
             "fact",
             *views,
         ),
+        "star_publish": with_views(
+            "\nunion all\n".join(
+                f"""select '{name}' "table", count(*) n_rows, count(*) >= 10 enough_rows,
+                           'refused' "second" from {view}"""
+                for name, view in [*[(n, v) for n, (v, _) in dims.items()], ("fact", "fact")]
+            ),
+            "fact",
+            *views,
+        ),
+        "monthly_load": with_views(
+            "\nunion all\n".join(
+                [
+                    f"""select cast(null as int) i94yr, cast(null as int) i94mon, '{name}' "table",
+                               count(*) n_rows, count({key}) n_keyed from {view}"""
+                    for name, (view, key) in dims.items()
+                ]
+                + [
+                    """select i94yr, i94mon, 'fact' "table", count(*) n_rows,
+                              count(state_code) n_keyed from fact group by 1, 2"""
+                ]
+            ),
+            "fact",
+            *views,
+        ),
+        "state_slice": with_views(
+            """select f.state_code, 'ASIA' "State", count(*) n_arrivals,
+                      round(avg(i94bir), 6) mean_age
+               from fact f
+               where exists (select 1 from dim_demographics d
+                             where d.state_code = f.state_code and d."State" = 'ASIA')
+               group by 1""",
+            "fact",
+            "dim_demographics",
+        ),
+        "rejected_rows": with_views(
+            """select 'cast occup' fault, count(occup) n_rows from raw_arrivals
+               union all
+               select 'unknown country_code', count(*) from fact f
+               where not exists (select 1 from dim_country d where d.country_code = f.country_code)
+               union all
+               select 'unknown state_code', count(*) from fact f
+               where not exists (select 1 from dim_demographics d where d.state_code = f.state_code)
+               union all
+               select 'accepted', count(*) from raw_arrivals a
+               where occup is null
+                 and exists (select 1 from dim_country d where d.country_code = cast(trunc(a.i94res) as int))
+                 and exists (select 1 from dim_demographics d where d.state_code = a.i94addr)""",
+            "fact",
+            "dim_country",
+            "dim_demographics",
+        ),
         "fk_audit": with_views(
             "\nunion all\n".join(
                 audit.format(dim=name, table=view, key=key) for name, (view, key) in dims.items()

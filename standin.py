@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import clean
-from starloom.plans.arrivals import ARRIVALS_SCHEMA, arrivals_sources
+from starloom.plans.arrivals import ARRIVALS_SCHEMA, MEASURES, RACES, arrivals_sources
 
 # Market segment -> race. Fixed values.
 RACE_OF_SEGMENT = {
@@ -215,6 +215,10 @@ _DAYS = "cast(date_diff('day', date '1960-01-01', cast({} as date)) as double)"
 _SHIP_DAYS = _DAYS.format("l_shipdate")
 _ORDER_DAYS = _DAYS.format("o_orderdate")
 _RACES = " ".join(f"when '{s}' then '{r}'" for s, r in RACE_OF_SEGMENT.items())
+# Output column -> what is averaged over the rows of a city.
+_CITY = {m.replace(" ", "") + "Avg": f'"{m}"' for m in MEASURES} | {
+    name: f"""case when "Race" = '{race}' then "Count" else 0 end""" for name, race in RACES.items()
+}
 _DATE = "strftime(date '1960-01-01' + cast(floor({0}) as int), '%Y-%m-%d')"
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -404,8 +408,16 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "dim_airport": (
         ("arrivals", "airports"),
         """
-        select distinct i94port arrival_port, airports.*
-        from arrivals left join airports on i94port = iata_code and i94mode = 1
+        select distinct used.i94port arrival_port, a.*
+        from (select i94port from arrivals where i94mode = 1) used
+        join airports a on a.iata_code = used.i94port
+        union all
+        select distinct used.i94port, a.*
+        from (select i94port from arrivals
+              where i94mode is distinct from 1
+                 or i94port is null
+                 or i94port not in (select iata_code from airports where iata_code is not null)) used
+        left join airports a on false
         """,
     ),
     "dim_airport_unique": (
@@ -420,46 +432,17 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "city": (
         ("demographics",),
-        """
-        select "State Code", "State", "City",
-               avg("Median Age") "MedianAgeAvg",
-               avg("Male Population") "MalePopulationAvg",
-               avg("Female Population") "FemalePopulationAvg",
-               avg("Total Population") "TotalPopulationAvg",
-               avg("Number of Veterans") "NumberofVeteransAvg",
-               avg("Foreign-born") "Foreign-bornAvg",
-               avg("Average Household Size") "AverageHouseholdSizeAvg",
-               avg(case when "Race" = 'Hispanic or Latino' then "Count" else 0 end)
-                   "RaceCountHispLatAvg",
-               avg(case when "Race" = 'White' then "Count" else 0 end) "RaceCountWhiteAvg",
-               avg(case when "Race" = 'Asian' then "Count" else 0 end) "RaceCountAsianAvg",
-               avg(case when "Race" = 'Black or African-American' then "Count" else 0 end)
-                   "RaceCountBlackAfrAvg",
-               avg(case when "Race" = 'American Indian and Alaska Native' then "Count" else 0 end)
-                   "RaceCountNativeAvg"
-        from demographics group by 1, 2, 3
-        """,
+        'select "State Code", "State", "City", '
+        + ", ".join(f'avg({value}) "{name}"' for name, value in _CITY.items())
+        + " from demographics group by all",
     ),
     "dim_demographics": (
         ("arrivals", "city"),
-        """
-        select i94addr state_code, "State",
-               round(avg("MedianAgeAvg"), 6) "MedianAgeAvg",
-               round(avg("MalePopulationAvg"), 6) "MalePopulationAvg",
-               round(avg("FemalePopulationAvg"), 6) "FemalePopulationAvg",
-               round(avg("TotalPopulationAvg"), 6) "TotalPopulationAvg",
-               round(avg("NumberofVeteransAvg"), 6) "NumberofVeteransAvg",
-               round(avg("Foreign-bornAvg"), 6) "Foreign-bornAvg",
-               round(avg("AverageHouseholdSizeAvg"), 6) "AverageHouseholdSizeAvg",
-               round(avg("RaceCountHispLatAvg"), 6) "RaceCountHispLatAvg",
-               round(avg("RaceCountWhiteAvg"), 6) "RaceCountWhiteAvg",
-               round(avg("RaceCountAsianAvg"), 6) "RaceCountAsianAvg",
-               round(avg("RaceCountBlackAfrAvg"), 6) "RaceCountBlackAfrAvg",
-               round(avg("RaceCountNativeAvg"), 6) "RaceCountNativeAvg"
-        from arrivals left join city on "State Code" = i94addr
-        where i94addr is not null
-        group by 1, 2
-        """,
+        'select used.state_code, "State", '
+        + ", ".join(f'round(avg("{name}"), 6) "{name}"' for name in _CITY)
+        + """
+        from (select distinct i94addr state_code from arrivals where i94addr is not null) used
+        left join city on "State Code" = used.state_code group by all""",
     ),
 }
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions import fresh_name
+
 
 def average_numeric(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The average of every numeric column, under its own name."""
@@ -42,20 +44,23 @@ def pivot_average(
     return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*averages)
 
 
-def key_sets(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> tuple[DataFrame, dict]:
-    """Distinct values of several key sets, from one scan of ``df``.
+def key_sets(
+    df: DataFrame, sets: Mapping[str, Sequence[str]], *aggregates: Column
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Distinct values of several key sets, with ``aggregates`` of each, from one scan of ``df``.
 
-    Returns one frame holding all sets, and per set a condition that picks its
-    rows. The sets are to be disjoint.
+    Returns one frame holding all sets, the aggregates after its keys, and per set a condition
+    that picks its rows. The sets are to be disjoint.
     """
     columns = [c for names in sets.values() for c in names]
-    table = df.groupingSets([list(names) for names in sets.values()], *columns).agg(
-        F.grouping_id().alias("key_set")
-    )
+    number = fresh_name(columns, "key_set")
+    table = df.groupingSets(
+        [[F.col(f"`{c}`") for c in names] for names in sets.values()], *[F.col(f"`{c}`") for c in columns]
+    ).agg(F.grouping_id().alias(number), *aggregates)
     # A grouping id has one bit per column, the first column's highest; the bit
     # is 0 where the column belongs to the set.
     picks = {}
     for name, members in sets.items():
         bits = ["0" if c in members else "1" for c in columns]
-        picks[name] = F.col("key_set") == int("".join(bits), 2)
+        picks[name] = F.col(number) == int("".join(bits), 2)
     return table, picks

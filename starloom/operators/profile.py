@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import is_missing, safe_cast
-from starloom.operators.quantiles import exact_quantiles, no_quantiles
+from starloom.operators.quantiles import (
+    exact_quantiles,
+    merged_sketches,
+    no_quantiles,
+    sketch_size,
+)
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-LEVELS = (4096, 256, 16)  # groups of tasks whose sketches are merged, round by round
 
 
 def _rows(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -71,6 +74,37 @@ def distinct_counts(
     return _rows(df, structs)
 
 
+def distinct_sketches(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], lg_size: int = 14
+) -> DataFrame:
+    """A HyperLogLog sketch of each column per group of ``by``: (by, *columns, has_null).
+
+    Stored, they give the distinct counts of any union of groups without reading the rows
+    again. ``2^lg_size`` registers bound a sketch, so do the groups that Spark merges.
+    ``has_null`` is an array of flags by column.
+    """
+    text = {c: F.col(f"`{c}`").cast("string") for c in columns}
+    sketches = [F.hll_sketch_agg(value, F.lit(lg_size)).alias(c) for c, value in text.items()]
+    nulls = F.array(*[F.max(value.isNull()) for value in text.values()]).alias("has_null")
+    return df.groupBy(*[F.col(f"`{c}`").alias(f"by_{c}") for c in by]).agg(*sketches, nulls)
+
+
+def merged_distinct_counts(sketches: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Estimates (column, n_distinct) over all groups of ``distinct_sketches``, null being a
+    value; the standard error is ``1.04 / sqrt(2^lg_size)`` of the count."""
+    structs = []
+    for i, c in enumerate(columns):
+        values = F.hll_sketch_estimate(F.hll_union_agg(F.col(f"`{c}`")))
+        null = F.max(F.get("has_null", F.lit(i))).cast("int")
+        structs.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.coalesce((values + null).cast("long"), F.lit(0)).alias("n_distinct"),
+            )
+        )
+    return _rows(sketches, structs)
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(f"`{column}`")).distinct()
 
@@ -113,25 +147,12 @@ def sketched_quantiles(
 
     The estimates are values of the column. Their ranks are off by some five
     standard deviations where they are off by more than 1/``accuracy`` of the values.
-    Sketches are merged in rounds of a few groups each, so the last task takes in
-    ``LEVELS[-1]`` of them per column, however many tasks made one.
     """
     if not columns:
         return no_quantiles(df.sparkSession, quantiles)
-    # the published error of a KLL sketch, 2.296 / k^0.9021 at 99 %, taken twice
-    k = F.lit(min(max(math.ceil((2 * 2.296 * accuracy) ** (1 / 0.9021)), 8), 65_535))
     named = {f"s{i}": c for i, c in enumerate(columns)}
-    sketches = df.select(
-        (F.spark_partition_id() % LEVELS[0]).alias("part"),
-        *[F.col(f"`{c}`").alias(s) for s, c in named.items()],
-    )
-    merge = F.kll_sketch_agg_double
-    for parts in LEVELS:
-        sketches = sketches.groupBy((F.col("part") % parts).alias("part")).agg(
-            *[merge(F.col(s), k).alias(s) for s in named]
-        )
-        merge = F.kll_merge_agg_double
-    merged = sketches.agg(*[merge(F.col(s), k).alias(s) for s in named])
+    values = {s: F.col(f"`{c}`") for s, c in named.items()}
+    merged = merged_sketches(df, values, sketch_size(accuracy))
     rows = [F.struct(F.lit(c).alias("column"), F.col(s).alias("s")) for s, c in named.items()]
     estimates = [
         F.kll_sketch_get_quantile_double("s", F.lit(p)).alias(q) for q, p in quantiles.items()
@@ -173,8 +194,8 @@ def column_profile(
 
     NaN counts as missing. Quartiles are values of the column. By default they
     come from sketches of fixed size, off by at most 1/accuracy of the values (see
-    ``sketched_quantiles``); ``exact`` ranks the counted values instead, at the price
-    of a shuffle. ``numeric_text`` gives mean, deviation and quartiles for those texts
+    ``sketched_quantiles``); ``exact`` takes three scans or more instead, guided by them (see
+    ``exact_quantiles``). ``numeric_text`` gives mean, deviation and quartiles for those texts
     that are numbers, beside the smallest and largest text.
     """
     columns = list(columns or df.columns)

@@ -16,7 +16,7 @@ from starloom.scratch import settle
 from starloom.specs import StarSpec
 
 
-def _key_columns(dimension: str, spec: StarSpec) -> dict[str, Column]:
+def key_columns(dimension: str, spec: StarSpec) -> dict[str, Column]:
     """The columns that make up one dimension's keys."""
     if dimension == "date":
         return {"date_day": sas_day(F.col(spec.date))}
@@ -33,13 +33,13 @@ DIMENSIONS = ("date", "country", "airport", "demographics")
 
 def keys_of(arrivals: DataFrame, dimension: str, spec: StarSpec) -> DataFrame:
     """The distinct keys of one dimension."""
-    columns = _key_columns(dimension, spec)
+    columns = key_columns(dimension, spec)
     return arrivals.select(*[c.alias(name) for name, c in columns.items()]).distinct()
 
 
 def keys_of_all(arrivals: DataFrame, spec: StarSpec) -> dict[str, DataFrame]:
     """The distinct keys of all dimensions from one scan of the arrivals."""
-    columns = {d: _key_columns(d, spec) for d in DIMENSIONS}
+    columns = {d: key_columns(d, spec) for d in DIMENSIONS}
     keys = arrivals.select(
         *[c.alias(name) for per_dim in columns.values() for name, c in per_dim.items()]
     )

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import iso_date
-from starloom.operators import attach_dimensions, cast_losses, check_tables, missing_keys, require_passed
+from starloom.operators import (
+    attach_dimensions,
+    check_tables,
+    missing_keys,
+    missing_of_counted,
+    require_passed,
+)
 from starloom.operators.clean import require_columns
+from starloom.plans.counted import ROWS, CountedKeys, count_keys
 from starloom.plans.dimensions import (
+    DIMENSIONS,
     airport_dimension,
     country_dimension,
     date_dimension,
@@ -19,8 +27,8 @@ from starloom.plans.dimensions import (
     keys_of,
     keys_of_all,
 )
-from starloom.scratch import settle, settle_all
-from starloom.sources import FORMATS, format_of, load_sources, source_losses, write_table
+from starloom.scratch import settle_all
+from starloom.sources import FORMATS, load_all_observed, publish
 from starloom.specs import RunSpec, SinkSpec, StarSpec
 
 TABLES = ("date", "country", "airport", "demographics", "fact")
@@ -63,14 +71,22 @@ def build_star(sources: Mapping[str, DataFrame], spec: StarSpec) -> dict[str, Da
     return star
 
 
+def build_counted(
+    sources: Mapping[str, DataFrame],
+    spec: StarSpec,
+    dimensions: Sequence[str] = DIMENSIONS,
+    also: Mapping[str, Sequence[str]] | None = None,
+) -> tuple[dict[str, DataFrame], CountedKeys]:
+    """Dimensions and the counted keys they are built from: all that the analyses and the audit
+    need, by one scan of the arrivals and without a fact."""
+    counted = count_keys(sources["arrivals"], spec, dimensions, also=also)
+    dims = {d: build_dimension(d, counted.keys(d), sources, spec) for d in dimensions}
+    return settle_all(dims), counted
+
+
 def write_star(star: Mapping[str, DataFrame], sinks: Mapping[str, SinkSpec]) -> dict[str, DataFrame]:
-    """Write every table and return them as read back from their files."""
-    written = {}
-    for name, df in star.items():
-        path = write_table(df, sinks[name])
-        columns = df.columns
-        written[name] = df.sparkSession.read.schema(df.schema).parquet(path).select(*columns)
-    return written
+    """Publish every table and return them as read back from their files."""
+    return publish(star, sinks)
 
 
 def star_counts(
@@ -108,10 +124,28 @@ def dimension_keys(spec: StarSpec) -> dict[str, str]:
     }
 
 
-def audit_keys(star: Mapping[str, DataFrame], spec: StarSpec) -> DataFrame:
-    """Fact keys that have no dimension row."""
+def audit_keys(
+    star: Mapping[str, DataFrame], spec: StarSpec, counted: CountedKeys | None = None
+) -> DataFrame:
+    """Fact keys that have no dimension row; from counted keys, or else from the fact."""
     dims = {name: (star[name], key) for name, key in dimension_keys(spec).items()}
-    return missing_keys(star["fact"], dims)
+    if counted is None:
+        return missing_keys(star["fact"], dims)
+    keys = {
+        name: counted.counts(name).select(F.col(f"`{key}`").alias("key"), F.col(ROWS).alias("n_rows"))
+        for name, (_, key) in dims.items()
+    }
+    return missing_of_counted(keys, dims)
+
+
+def state_slice(star: Mapping[str, DataFrame], spec: StarSpec, states: Column) -> DataFrame:
+    """Fact rows of the states that meet a condition on the demographics, with their ``State``.
+
+    For a written star: the fact is partitioned by state, and Spark reads the partitions of
+    those states only, which it learns from the dimension while the query runs.
+    """
+    chosen = star["demographics"].where(states).select(spec.state_key, "State").distinct()
+    return star["fact"].join(chosen, spec.state_key)
 
 
 def describe_tables(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -130,38 +164,36 @@ def run(
     formats: Mapping[str, str] = FORMATS,
     strict: bool = False,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    """Load, check, build and write. Returns (star, source checks, star counts).
-
-    Row-based sources are written as Parquet once: checks, keys and fact each
-    read them, and text would be parsed as a whole every time. The source checks also
-    have ``n_lost``, the values that declared types and casts turned into null. With
-    ``strict`` a failed check of a source, lost values included, raises before anything is
-    written to the sinks, and a table of the star below its ``min_rows`` raises after.
+    """Load, check, build and publish. Returns (star, source checks, star counts).
+
+    Row-based sources are parsed once, into Parquet, by a pass that also counts their rows and
+    the values that declared types and casts turned into null: ``n_read`` and ``n_lost`` of
+    the checks. The star's tables are written beside their places and counted there; then
+    all of them are moved. With ``strict`` a failed check of a source raises before anything
+    is written to the sinks, and a table of the star below its ``min_rows`` before anything
+    published is touched.
     """
-    sources = load_sources(spark, spec.sources, formats)
-    sources = {
-        name: df if format_of(spec.sources[name].path, formats) == "parquet" else settle(df)
-        for name, df in sources.items()
-    }
+    loaded = load_all_observed(spark, spec.sources, formats)
+    sources = {name: source.df for name, source in loaded.items()}
     min_rows = {name: source.min_rows for name, source in spec.sources.items()}
-    lost = [
-        source_losses(spark, source, formats).agg(
-            F.lit(name).alias("table"), F.coalesce(F.sum("n_lost"), F.lit(0)).alias("n_lost")
-        )
-        for name, source in spec.sources.items()
-    ]
-    losses = settle(reduce(DataFrame.unionByName, lost))
-    checks = settle(check_tables(sources, min_rows).join(losses, "table"))
+    seen = spark.createDataFrame(
+        [(name, source.n_read, source.n_lost) for name, source in loaded.items()],
+        "table string, n_read long, n_lost long",
+    )
+    checks = check_tables(sources, min_rows).join(seen, "table")
     if strict:
         require_passed(checks)
     star = build_star(sources, spec.star)
-    if spec.sinks:
-        star = write_star(star, spec.sinks)
     least = {name: spec.sinks[name].min_rows if name in spec.sinks else 10 for name in star}
-    counts = star_counts(star, least)
-    if strict:
-        counts = settle(counts)
-        small = counts.where(~F.col("enough_rows")).collect()  # a row per table
-        if small:
-            raise ValueError(f"too few rows in {', '.join(r.table for r in small)}")
-    return star, checks, counts
+    require = partial(_require_rows, min_rows=least) if strict else lambda tables: None
+    if spec.sinks:
+        star = publish(star, spec.sinks, require)
+    else:
+        require(star)
+    return star, checks, star_counts(star, least)
+
+
+def _require_rows(star: Mapping[str, DataFrame], min_rows: Mapping[str, int]) -> None:
+    small = star_counts(star, min_rows).where(~F.col("enough_rows")).collect()  # a row per table
+    if small:
+        raise ValueError(f"too few rows in {', '.join(r.table for r in small)}")

@@ -10,21 +10,32 @@ from starloom.operators.clean import require_columns
 from starloom.specs import SinkSpec
 
 
-def write_table(df: DataFrame, sink: SinkSpec) -> str:
+def table_path(sink: SinkSpec) -> str:
+    return f"{sink.path.rstrip('/')}/{sink.name}"
+
+
+def write_table(df: DataFrame, sink: SinkSpec, replace: str = "table") -> str:
     """Overwrite the table at ``sink`` and return its path.
 
+    With ``replace="partitions"`` only those partitions are overwritten that ``df`` has
+    rows of; Spark moves them in when all tasks are done, and the others stay.
+
     Rows of one partition value are brought together so that it gets few
     files; ``rebalance`` lets AQE split a value with many rows over several
     tasks and files, and merge small ones. An empty text in a partition column would be
     read back as null, so it fails the write.
     """
     require_columns(df, sink.partition_by, f"sink {sink.name}")
-    path = f"{sink.path.rstrip('/')}/{sink.name}"
+    if replace not in ("table", "partitions"):
+        raise ValueError(f"replace is table or partitions, not {replace!r}")
+    path = table_path(sink)
     texts = [c for c in sink.partition_by if isinstance(df.schema[c].dataType, T.StringType)]
     df = df.withColumns({c: _not_empty(c, sink.name) for c in texts})
     if sink.partition_by:
         df = df.hint("rebalance", *sink.partition_by)
-    df.write.mode("overwrite").partitionBy(*sink.partition_by).parquet(path)
+    mode = "dynamic" if replace == "partitions" else "static"
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(*sink.partition_by).parquet(path)
     return path
 
 

@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from rows import NAN, tuples
 from starloom import SourceSpec
+from starloom.functions import row_digests
 from starloom.operators import (
     cast_columns,
     cast_losses,
     check_tables,
     clean,
+    count_distinct_rows,
     dedupe,
     drop_columns,
     drop_missing,
@@ -131,6 +133,44 @@ def test_table_check_counts_copies(spark):
     assert tuples(table_check(df.limit(0), "t")) == [("t", 0, 0, 0, False)]
 
 
+def odd_rows(spark):
+    rows = [
+        (1, 0.0, "a", None), (1, -0.0, "a", None), (1, NAN, "a", None), (1, NAN, "a", None),
+        (None, 1.0, None, "b"), (None, 1.0, "b", None), (None, 1.0, "b", None), (2, 1.0, "x", "y"),
+    ]
+    return spark.createDataFrame(rows, "i int, d double, s string, t string")
+
+
+def one_digest(df):
+    return F.lit(1).cast("long"), F.lit(1).cast("long")
+
+
+@pytest.mark.parametrize("digests", [row_digests, one_digest])
+def test_distinct_rows_by_digest_are_exact(spark, digests):
+    """Also where all digests collide: then every row is compared in full."""
+    df = odd_rows(spark)
+    assert count_distinct_rows(df, digests) == (8, df.distinct().count()) == (8, 5)
+    assert count_distinct_rows(df.limit(0), digests) == (0, 0)
+
+
+def test_nested_columns_are_grouped_as_they_are(spark):
+    df = spark.createDataFrame([([0.0],), ([-0.0],), (None,), (None,)], "a array<double>")
+    assert count_distinct_rows(df) == (4, df.distinct().count())
+
+
+def test_digest_columns_may_clash(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "_digest_a int, _digest_b int")
+    assert count_distinct_rows(df) == (3, 2)
+
+
+def test_digests_and_not_rows_are_shuffled(spark):
+    df = spark.range(10).select(F.col("id"), F.lit("wide").alias("text"))
+    first, second = row_digests(df)
+    counted = df.withColumns({"x": first, "y": second}).groupBy("x", "y").count()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[x#" in plan and "text" not in plan.split("Exchange")[0]
+
+
 def test_checks_only_report_unless_asked(spark):
     good = spark.range(20).toDF("x")
     checks = check_tables({"good": good, "few": good.where("x < 3")}, {"good": 10, "few": 10})

@@ -18,10 +18,12 @@ from starloom.operators import (
     null_percent,
     pivot_average,
     quantile_ranks,
+    quantiles,
     rows_at_max,
     sketched_quantiles,
     top_n,
 )
+from starloom.scratch import settle
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -113,6 +115,33 @@ def test_exact_quantiles_against_brute_force(spark):
                 assert found[column][name] == brute_force([r[i] for r in rows], p)
 
 
+def test_exact_quantiles_at_the_edge_of_two_hot_values(spark):
+    df = spark.range(0, 2000, 1, 4).select((F.col("id") % 2).cast("double").alias("x"))
+    assert tuples(exact_quantiles(df, ["x"], QUARTILES, slice_rows=10)) == [("x", 0.0, 0.0, 1.0)]
+
+
+def test_an_interval_that_misses_its_rank_is_opened(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"))
+    value = {"x": F.col("x")}
+    for low, high in ((60.0, 70.0), (10.0, 20.0)):
+        (t,) = quantiles._counted(df, value, [quantiles._Target("x", "q", 50, low, high)])
+        assert t.below < 50 <= t.below + t.inside
+
+
+def test_exact_quantiles_shuffle_candidates_only(spark, monkeypatch):
+    """What the last step counts is a small share of the rows."""
+    df = spark.range(0, 50_000, 1, 4).select(F.rand(1).alias("x"))
+    written = []
+
+    def seen(counted):
+        written.append(settle(counted))
+        return written[-1]
+
+    monkeypatch.setattr(quantiles, "settle", seen)
+    exact_quantiles(df, ["x"], QUARTILES).collect()
+    assert written[0].count() < 50_000 * 3 * 4 / 1000
+
+
 def test_exact_quantiles_without_values(spark):
     df = spark.createDataFrame([(None, 1.0), (NAN, 2.0)], "empty double, two double")
     assert tuples(exact_quantiles(df, ["empty", "two"], QUARTILES)) == [("two", 1.0, 1.0, 2.0)]
