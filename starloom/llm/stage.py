@@ -21,7 +21,7 @@ def ship(spark: SparkSession) -> None:
     if application not in _shipped:
         root = Path(__file__).resolve().parents[2]
         archive = shutil.make_archive(
-            f"{tempfile.mkdtemp(prefix='llm-')}/starloom_llm", "zip", root, "starloom/llm"
+            f"{tempfile.mkdtemp(prefix='llm-')}/starloom", "zip", root, "starloom"
         )
         spark.sparkContext.addPyFile(archive)
         _shipped.add(application)
