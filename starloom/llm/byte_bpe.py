@@ -1,12 +1,14 @@
 """Byte-level BPE encoding and decoding with a rank queue on a hierarchical bitmap.
 
-A pre-token is a linked list of parts. Every adjacent pair that the vocabulary
-joins waits in the bucket of its rank; a three-level bitmap marks the ranks whose
-buckets are not empty, so the next rank is found by three find-first-set steps.
-Within a bucket the leftmost position comes first. An entry is stale, and skipped,
-if its pair was changed by another merge meanwhile. A pre-token of n bytes takes
-O(n log n) steps, so one of a million letters is no problem. Workers remember the
-ids of short pre-tokens in a dictionary of bounded size.
+The new pre-tokens of some texts stand side by side in one buffer, each a linked list of
+parts. Every adjacent pair that the vocabulary joins waits in the bucket of its rank; a
+two-level bitmap marks the ranks whose buckets are not empty, so the next rank is found
+by two find-first-set steps, and its bucket is worked off from left to right. Each
+position knows the rank of its present pair, so an entry whose pair was changed by another merge
+is stale, and skipped. Should a merge give a pair of a lower rank, the rest of the bucket
+waits until that one is done. A pre-token of n bytes takes O(n log n) steps, so one of a
+million letters is no problem. Workers remember the ids of short pre-tokens: the recent
+ones in a dictionary of bounded size, and those before in another.
 
 The vocabulary is a parameter: the driver reads the rank file and broadcasts it
 (its size is that of the file, whatever the input).
@@ -20,17 +22,25 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_REMEMBER = 1 << 19  # pre-tokens
+from .stage import ship
+
+_REMEMBER = 1 << 17  # pre-tokens of a generation; there are two
 _SHORT = 64  # bytes of a pre-token worth remembering
+_ROWS = 256  # rows that are encoded and sent on together
+_BUFFER = 1 << 20  # bytes of pre-tokens that are merged together, or a longer one alone
+_BIT = [1 << i for i in range(256)]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,55 +52,66 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RankQueue:
     """Positions in buckets by rank; ``pop`` takes the leftmost of the lowest rank.
 
-    Three levels of 64-bit words: a bit of the first is a rank, a bit of the next a word
-    that is not zero. An emptied queue is as good as new.
+    Two levels of words of 256 bits and more: a bit of ``low`` is a rank, a bit of ``top`` a word
+    that is not zero. An emptied queue is as good as new. ``Codec.merge_all`` pushes in place, as
+    calls would take most of its time.
     """
 
-    __slots__ = ("buckets", "low", "middle", "top")
+    __slots__ = ("buckets", "low", "top")
 
     def __init__(self, ranks: int):
         self.buckets: dict[int, list[int]] = {}
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.middle = [0] * ((ranks >> 12) + 1)
-        self.top = 0  # as many bits as the middle has words
+        self.low = [0] * ((ranks >> 8) + 1)
+        self.top = 0
+
+    def fill(self, rank: int, positions: list[int]) -> None:
+        """Put several positions into a bucket."""
+        if positions:
+            word = rank >> 8
+            self.buckets.setdefault(rank, []).extend(positions)
+            self.low[word] |= _BIT[rank & 255]
+            self.top |= 1 << word
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is not None:
-            if position > bucket[-1]:
-                bucket.append(position)  # the largest may stand last in a heap
-            else:
-                heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> 6
-        before = self.low[word]
-        self.low[word] = before | 1 << (rank & 63)
-        if not before:
-            self.middle[word >> 6] |= 1 << (word & 63)
-            self.top |= 1 << (word >> 6)
-
-    def pop(self) -> tuple[int, int] | None:
+        if bucket is None:
+            self.buckets[rank] = [position]
+            word = rank >> 8
+            self.low[word] |= _BIT[rank & 255]
+            self.top |= 1 << word
+        elif position > bucket[-1]:
+            bucket.append(position)  # the largest may stand last in a heap
+        else:
+            heappush(bucket, position)
+
+    def first(self) -> int | None:
+        """The lowest rank that has a bucket."""
         top = self.top
         if not top:
             return None
-        at = (top & -top).bit_length() - 1
-        bits = self.middle[at]
-        at = at << 6 | (bits & -bits).bit_length() - 1
-        bits = self.low[at]
-        rank = at << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        bits &= bits - 1
-        self.low[at] = bits
-        if not bits:
-            above = at >> 6
-            self.middle[above] &= ~(1 << (at & 63))
-            if not self.middle[above]:
-                self.top &= ~(1 << above)
-        return rank, bucket[0]
+        word = (top & -top).bit_length() - 1
+        bits = self.low[word]
+        return word << 8 | (bits & -bits).bit_length() - 1
+
+    def take(self) -> tuple[int, list[int]] | None:
+        """The lowest rank and its whole bucket."""
+        rank = self.first()
+        if rank is None:
+            return None
+        word = rank >> 8
+        self.low[word] ^= _BIT[rank & 255]
+        if not self.low[word]:
+            self.top ^= 1 << word
+        return rank, self.buckets.pop(rank)
+
+    def pop(self) -> tuple[int, int] | None:
+        """The leftmost position of the lowest rank."""
+        rank = self.first()
+        if rank is None:
+            return None
+        if len(self.buckets[rank]) == 1:
+            return rank, self.take()[1][0]
+        return rank, heappop(self.buckets[rank])
 
 
 @dataclass
@@ -100,69 +121,157 @@ class Codec:
     ranks: dict[bytes, int]
     pattern: str
     _tokens: dict[int, bytes] = field(default_factory=dict, repr=False)
-    _memory: dict[str, list[int]] = field(default_factory=dict, repr=False)
+    _recent: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    _before: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         self._split = regex.compile(self.pattern)
+        self._whole = not self._split.groups  # findall gives groups where there are any
         self._tokens = {rank: token for token, rank in self.ranks.items()}
         self._queue = RankQueue(max(self._tokens, default=0))
+        # ranks of single bytes and of pairs of them
+        self._byte = np.full(256, -1, np.int64)
+        self._pair = np.full(1 << 16, -1, np.int64)
+        for token, rank in self.ranks.items():
+            if len(token) == 1:
+                self._byte[token[0]] = rank
+            elif len(token) == 2:
+                self._pair[token[0] << 8 | token[1]] = rank
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        n = len(piece)
-        end = list(range(1, n + 1))  # of the part that starts here; 0 once it is merged away
-        before = list(range(-1, n - 1))
-        rank_of, push, pop = ranks.get, self._queue.push, self._queue.pop
-        for i in range(n - 1):
-            rank = rank_of(piece[i : i + 2])
-            if rank is not None:
-                push(rank, i)
-        while (found := pop()) is not None:
-            rank, left = found
-            right = end[left]
-            # stale: the part is gone, or its pair is another one now
-            if not right or right >= n:
-                continue
-            after = end[right]
-            if rank_of(piece[left:after]) != rank:
-                continue
-            end[left], end[right] = after, 0
-            if after < n:
-                before[after] = left
-                wider = rank_of(piece[left : end[after]])
-                if wider is not None:
-                    push(wider, left)
-            previous = before[left]
-            if previous >= 0:
-                wider = rank_of(piece[previous:after])
-                if wider is not None:
-                    push(wider, previous)
-        ids, at = [], 0
-        while at < n:
-            ids.append(ranks[piece[at : end[at]]])
-            at = end[at]
-        return ids
-
-    def _merged(self, token: str) -> list[int]:
-        piece = token.encode("utf-8", "replace")
-        own = self.merge(piece)
-        if len(piece) <= _SHORT:
-            if len(self._memory) >= _REMEMBER:
-                self._memory.clear()
-            self._memory[token] = own
-        return own
+        return self.merge_all([piece])[0] if piece else []
+
+    def merge_all(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each of some pre-tokens, which are not empty."""
+        rank_of = self.ranks.get
+        whole = [rank_of(p) for p in pieces]
+        parts = iter(self._merged([p for p, w in zip(pieces, whole, strict=True) if w is None]))
+        return [next(parts) if w is None else [w] for w in whole]
+
+    def _merged(self, pieces: list[bytes]) -> list[list[int]]:
+        if not pieces:
+            return []
+        data = b"".join(pieces)
+        n = len(data)
+        sizes = np.array([len(p) for p in pieces])
+        starts = np.cumsum(sizes) - sizes
+        raw = np.frombuffer(data, np.uint8)
+        single = self._byte[raw]
+        if single.min() < 0:
+            raise ValueError("the vocabulary lacks a single byte")
+        edges = np.zeros(n + 1, np.uint8)
+        edges[starts] = edges[n] = 1
+        pairs = np.full(n, -1, np.int64)
+        pairs[:-1] = self._pair[raw[:-1].astype(np.int64) << 8 | raw[1:]]
+        pairs[starts[1:] - 1] = -1  # no pair reaches over the end of a piece
+        links = np.arange(-1, n - 1)
+        links[starts] = -1
+
+        ids = single.tolist()  # of the part that starts here; -1 once it is merged away
+        now = pairs.tolist()  # rank of the pair that starts here
+        end = list(range(1, n + 1))  # of the part that starts here
+        before = links.tolist()
+        edge = edges.tobytes()
+        queue, rank_of, bit = self._queue, self.ranks.get, _BIT
+        buckets, low = queue.buckets, queue.low
+        bucket_of, take = buckets.get, queue.take
+        at = np.flatnonzero(pairs >= 0)
+        order = at[np.argsort(pairs[at], kind="stable")]
+        found, first = np.unique(pairs[order], return_index=True)
+        for rank, some in zip(found.tolist(), np.split(order, first[1:]), strict=bool(len(order))):
+            queue.fill(rank, some.tolist())
+        while (taken := take()) is not None:
+            rank, bucket = taken
+            bucket.sort()
+            for place, left in enumerate(bucket):
+                if now[left] != rank:
+                    continue  # stale: the part is gone, or its pair is another one now
+                right = end[left]
+                after = end[right]
+                end[left] = after
+                ids[left], ids[right], now[right] = rank, -1, -1
+                least = rank
+                if edge[after]:
+                    now[left] = -1
+                else:
+                    before[after] = left
+                    wider = rank_of(data[left : end[after]])
+                    if wider is None:
+                        now[left] = -1
+                    else:
+                        now[left] = wider
+                        least = wider if wider < least else least
+                        some = bucket_of(wider)
+                        if some is not None:
+                            some.append(left)
+                        else:
+                            buckets[wider] = [left]
+                            low[wider >> 8] |= bit[wider & 255]
+                            queue.top |= 1 << (wider >> 8)
+                previous = before[left]
+                if previous >= 0:
+                    wider = rank_of(data[previous:after])
+                    if wider is None:
+                        now[previous] = -1
+                    else:
+                        now[previous] = wider
+                        least = wider if wider < least else least
+                        some = bucket_of(wider)
+                        if some is not None:
+                            some.append(previous)
+                        else:
+                            buckets[wider] = [previous]
+                            low[wider >> 8] |= bit[wider & 255]
+                            queue.top |= 1 << (wider >> 8)
+                if least < rank:
+                    queue.fill(rank, bucket[place + 1 :])
+                    break
+        left = [i for i in ids if i >= 0]
+        counts = np.add.reduceat(np.array(ids) >= 0, starts, dtype=np.int64)
+        ends = np.cumsum(counts).tolist()
+        return [left[e - c : e] for c, e in zip(counts.tolist(), ends, strict=True)]
+
+    def encode_all(self, texts: Iterable[str | None]) -> list[list[int]]:
+        """Ids of each text."""
+        split = self._split
+        if self._whole:
+            tokens = [split.findall(t) if t else [] for t in texts]
+        else:
+            tokens = [[m[0] for m in split.finditer(t)] if t else [] for t in texts]
+        known = self._recent
+        new = set().union(*tokens).difference(known)
+        long = []
+        for token in [t for t in new if t in self._before]:
+            known[token] = self._before[token]
+            new.discard(token)
+        new.discard("")
+        some = list(new)
+        pieces = [t.encode("utf-8", "replace") for t in some]
+        at = 0
+        while at < len(some):
+            upto, size = at, 0
+            while upto < len(some) and (upto == at or size + len(pieces[upto]) <= _BUFFER):
+                size += len(pieces[upto])
+                upto += 1
+            for token, piece, ids in zip(
+                some[at:upto], pieces[at:upto], self.merge_all(pieces[at:upto]), strict=True
+            ):
+                known[token] = tuple(ids)
+                if len(piece) > _SHORT:
+                    long.append(token)
+            at = upto
+        known[""] = ()
+        of = known.__getitem__
+        out = [list(chain.from_iterable(map(of, t))) for t in tokens]
+        for token in long:
+            del known[token]
+        if len(known) >= _REMEMBER:
+            self._before, self._recent = known, {}
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        known, merged = self._memory.get, self._merged
-        for match in self._split.finditer(text or ""):
-            token = match[0]
-            ids += known(token) or merged(token)
-        return ids
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self._tokens.__getitem__, ids))
@@ -178,26 +287,43 @@ def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
     return _codecs[0]
 
 
-def coder(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> Column:
-    """A column with the struct ``ids, decoded`` (bytes) of each text."""
+def _coded(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, kept: list[str],
+           schema: T.StructType, rows: Callable[[Codec, list], list[pa.Array]]) -> DataFrame:
+    """The columns ``kept`` and those that ``rows`` makes of some texts, a few rows at a time:
+    batches come by the ten thousand, and the ids of so many texts would fill a worker."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
+    names = [f"c{i}" for i in range(len(kept))]
+    fields = [T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, kept, strict=True)]
+    columns = [*names, *schema.names]
 
-    @F.pandas_udf("ids array<int>, decoded binary")
-    def code(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*sent.value)
-        for batch in texts:
-            ids = [codec.encode(t) for t in batch]
-            yield pd.DataFrame({"ids": ids, "decoded": [codec.decode(i) for i in ids]})
+        for batch in batches:
+            for i in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(i, _ROWS)
+                *own, texts = part.columns
+                yield pa.RecordBatch.from_arrays([*own, *rows(codec, texts.to_pylist())], columns)
+        pa.default_memory_pool().release_unused()
 
-    return code(F.col(text))
+    chosen = [F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)]
+    found = docs.select(*chosen, F.col(f"`{text}`").alias("t"))
+    coded = found.mapInArrow(code, T.StructType([*fields, *schema.fields]))
+    return coded.select(*[F.col(n).alias(c) for n, c in zip(names, kept, strict=True)], *schema.names)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str = "text") -> DataFrame:
     """The documents with ``ids`` (array of int) and ``decoded`` (bytes, from the ids)."""
+    schema = T.StructType([
+        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())
+    ])
+
+    def rows(codec: Codec, texts: list) -> list[pa.Array]:
+        ids = codec.encode_all(texts)
+        return [pa.array(ids, pa.list_(pa.int32())), pa.array([codec.decode(i) for i in ids], pa.binary())]
+
     kept = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
-    return docs.select(*kept, coder(docs, ranks, pattern, text).alias("_coded")).select(
-        *kept, "_coded.ids", "_coded.decoded"
-    )
+    return _coded(docs, text, ranks, pattern, kept, schema, rows)
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str = "doc_id",
@@ -206,18 +332,18 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str
 
     The digests are made beside the ids, so that neither ids nor bytes leave the task.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
-
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digest(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = _codec(*sent.value)
-        for batch in texts:
-            rows = []
-            for t in batch:
-                ids = codec.encode(t)
-                joined = ",".join(map(str, ids)).encode()
-                decoded = hashlib.sha256(codec.decode(ids)).hexdigest()
-                rows.append((len(ids), hashlib.sha256(joined).hexdigest(), decoded))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(key, digest(F.col(text)).alias("_d")).select(key, "_d.*")
+    schema = T.StructType([
+        T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ])
+
+    def rows(codec: Codec, texts: list) -> list[pa.Array]:
+        found = []
+        for ids in codec.encode_all(texts):
+            joined = ",".join(map(str, ids)).encode()
+            decoded = hashlib.sha256(codec.decode(ids)).hexdigest()
+            found.append((len(ids), hashlib.sha256(joined).hexdigest(), decoded))
+        kinds = (pa.int64(), pa.string(), pa.string())
+        return [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+
+    return _coded(docs, text, ranks, pattern, [key], schema, rows)
