@@ -21,6 +21,7 @@ replaced.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
@@ -29,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +38,9 @@ from pyspark.sql import types as T
 
 from .stage import ship
 
-_REMEMBER = 1 << 17  # pre-tokens of a generation; there are two
+_REMEMBER = 1 << 18  # pre-tokens of a generation; there are two
 _SHORT = 64  # bytes of a pre-token worth remembering
-_ROWS = 256  # rows that are encoded and sent on together
+_TEXT = 1 << 22  # bytes of text that are encoded and sent on together, or a longer one alone
 _BUFFER = 1 << 20  # bytes of pre-tokens that are merged together, or a longer one alone
 _BIT = [1 << i for i in range(256)]
 
@@ -129,6 +131,7 @@ class Codec:
         self._whole = not self._split.groups  # findall gives groups where there are any
         self._tokens = {rank: token for token, rank in self.ranks.items()}
         self._queue = RankQueue(max(self._tokens, default=0))
+        self.decimal = {rank: str(rank) for rank in self._tokens}.__getitem__
         # ranks of single bytes and of pairs of them
         self._byte = np.full(256, -1, np.int64)
         self._pair = np.full(1 << 16, -1, np.int64)
@@ -287,10 +290,19 @@ def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
     return _codecs[0]
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Starts and sizes of runs of texts of about ``_TEXT`` bytes together."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(lengths.astype(np.int64) + 1) // _TEXT
+    starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else []
+    for start, end in zip(starts, [*starts[1:], len(number)], strict=True):
+        yield int(start), int(end - start)
+
+
 def _coded(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, kept: list[str],
            schema: T.StructType, rows: Callable[[Codec, list], list[pa.Array]]) -> DataFrame:
-    """The columns ``kept`` and those that ``rows`` makes of some texts, a few rows at a time:
-    batches come by the ten thousand, and the ids of so many texts would fill a worker."""
+    """The columns ``kept`` and those that ``rows`` makes of some texts, a few megabytes at a time:
+    batches come by the ten thousand, and the ids of so many long texts would fill a worker."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
     names = [f"c{i}" for i in range(len(kept))]
@@ -299,12 +311,15 @@ def _coded(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, ke
 
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*sent.value)
-        for batch in batches:
-            for i in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(i, _ROWS)
-                *own, texts = part.columns
-                yield pa.RecordBatch.from_arrays([*own, *rows(codec, texts.to_pylist())], columns)
-        pa.default_memory_pool().release_unused()
+        gc.disable()  # nothing here is in a cycle, and a million tuples take long to look through
+        try:
+            for batch in batches:
+                for start, size in _slices(batch.column(len(names))):
+                    *own, texts = batch.slice(start, size).columns
+                    yield pa.RecordBatch.from_arrays([*own, *rows(codec, texts.to_pylist())], columns)
+        finally:
+            gc.enable()
+            pa.default_memory_pool().release_unused()
 
     chosen = [F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)]
     found = docs.select(*chosen, F.col(f"`{text}`").alias("t"))
@@ -340,7 +355,7 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, key: str
     def rows(codec: Codec, texts: list) -> list[pa.Array]:
         found = []
         for ids in codec.encode_all(texts):
-            joined = ",".join(map(str, ids)).encode()
+            joined = ",".join(map(codec.decimal, ids)).encode()
             decoded = hashlib.sha256(codec.decode(ids)).hexdigest()
             found.append((len(ids), hashlib.sha256(joined).hexdigest(), decoded))
         kinds = (pa.int64(), pa.string(), pa.string())
