@@ -294,7 +294,9 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Starts and sizes of runs of texts of about ``_TEXT`` bytes together."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     number = np.cumsum(lengths.astype(np.int64) + 1) // _TEXT
-    starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else []
+    if not len(number):
+        return
+    starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
     for start, end in zip(starts, [*starts[1:], len(number)], strict=True):
         yield int(start), int(end - start)
 

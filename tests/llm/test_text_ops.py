@@ -8,6 +8,7 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -80,6 +81,35 @@ def test_bpe_of_long_pre_tokens(codec, known, t):
     assert codec.encode(None) == []
 
 
+def test_bpe_of_many_texts_and_a_small_memory(codec, known, monkeypatch):
+    """Pre-tokens side by side in one buffer, forgotten again and again."""
+    monkeypatch.setattr(byte_bpe, "_REMEMBER", 50)
+    monkeypatch.setattr(byte_bpe, "_BUFFER", 64)
+    rng = np.random.default_rng(1)
+    small = byte_bpe.Codec(codec.ranks, codec.pattern)
+    for _ in range(5):
+        texts = ["".join(rng.choice(list("aábc dE1\n\t"), rng.integers(0, 200))) for _ in range(40)]
+        assert small.encode_all([*texts, None]) == [*map(known.encode_ordinary, texts), []]
+
+
+def test_a_merge_to_a_lower_rank_goes_first():
+    """After x+y the pair with a has a lower rank than x+y itself, which waits."""
+    ranks = {bytes([b]): b for b in range(256)}
+    ranks |= {b"axy": 300, b"xy": 400, b"ab": 350, b"xyx": 299}
+    own = byte_bpe.Codec(ranks, r".+")
+    plain = tiktoken.Encoding("p", pat_str=r".+", mergeable_ranks=ranks, special_tokens={})
+    for t in ("axyxy", "xyxyxyxy", "axyabxyx", "xyaxyxyab" * 20):
+        assert own.encode(t) == plain.encode_ordinary(t)
+
+
+def test_runs_of_texts_by_size(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_TEXT", 10)
+    texts = pa.array(["aaaa", None, "b" * 30, "c", "d", ""])
+    runs = list(byte_bpe._slices(texts))
+    assert [i for start, size in runs for i in range(start, start + size)] == list(range(6))
+    assert len(runs) > 1 and list(byte_bpe._slices(pa.array([], pa.string()))) == []
+
+
 def test_rank_queue_pops_in_order():
     rng = np.random.default_rng(0)
     queue, pushed = byte_bpe.RankQueue(70_000), []
