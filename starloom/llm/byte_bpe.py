@@ -26,7 +26,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from .stage import ship
 
 _REMEMBER = 1 << 18  # pre-tokens of a generation; there are two
+_KEPT = 1 << 16  # pre-tokens that a worker keeps between tasks
 _SHORT = 64  # bytes of a pre-token worth remembering
 _TEXT = 1 << 22  # bytes of text that are encoded and sent on together, or a longer one alone
 _BUFFER = 1 << 20  # bytes of pre-tokens that are merged together, or a longer one alone
@@ -273,6 +274,12 @@ class Codec:
             self._before, self._recent = known, {}
         return out
 
+    def forget(self) -> None:
+        """Keep only the pre-tokens that came first, which are the frequent ones: a worker that
+        waits, or does other work, holds no more than these."""
+        self._before = {}
+        self._recent = dict(islice(self._recent.items(), _KEPT))
+
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]
 
@@ -320,6 +327,7 @@ def _coded(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, ke
                     *own, texts = batch.slice(start, size).columns
                     yield pa.RecordBatch.from_arrays([*own, *rows(codec, texts.to_pylist())], columns)
         finally:
+            codec.forget()
             gc.enable()
             pa.default_memory_pool().release_unused()
 

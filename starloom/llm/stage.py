@@ -15,8 +15,18 @@ _own: dict[str, str] = {}
 _shipped: set[str] = set()
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ROWS = {"default": "10000", "texts": "1000"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the library to the executors' Python workers, once per application."""
+    """Send the library to the executors' Python workers, once per application.
+
+    Batches of Spark's default of 10,000 rows are made for numbers; with whole texts they take
+    a worker and its executor some hundred megabytes, so a session with that default gets 1,000.
+    """
+    if spark.conf.get(_BATCH, _ROWS["default"]) == _ROWS["default"]:
+        spark.conf.set(_BATCH, _ROWS["texts"])
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         root = Path(__file__).resolve().parents[2]
