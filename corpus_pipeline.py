@@ -20,11 +20,13 @@ from starloom.llm.stage import Tables, ship
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or a risk-controlled cutoff go."""
+    ship(spark)
     return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language that the model knows with some certainty go."""
+    ship(spark)
     return language_id.keep_identified(docs, language_id.train(docs))
 
 
