@@ -20,13 +20,7 @@ _ROWS = {"default": "10000", "texts": "1000"}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the library to the executors' Python workers, once per application.
-
-    Batches of Spark's default of 10,000 rows are made for numbers; with whole texts they take
-    a worker and its executor some hundred megabytes, so a session with that default gets 1,000.
-    """
-    if spark.conf.get(_BATCH, _ROWS["default"]) == _ROWS["default"]:
-        spark.conf.set(_BATCH, _ROWS["texts"])
+    """Send the library to the executors' Python workers, once per application."""
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         root = Path(__file__).resolve().parents[2]
@@ -37,6 +31,13 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(application)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Batches of Spark's default of 10,000 rows are made for numbers; with whole texts they take
+    a worker and its executor some hundred megabytes, so a session with that default gets 1,000."""
+    if spark.conf.get(_BATCH, _ROWS["default"]) == _ROWS["default"]:
+        spark.conf.set(_BATCH, _ROWS["texts"])
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
