@@ -15,18 +15,20 @@ from pyspark.sql import functions as F
 
 from starloom.llm import byte_bpe, decontaminate, language_id, near_dedup, quality_rules
 from starloom.llm.queries import ranks
-from starloom.llm.stage import Tables, ship
+from starloom.llm.stage import Tables, ship, short_batches
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or a risk-controlled cutoff go."""
     ship(spark)
+    short_batches(spark)
     return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language that the model knows with some certainty go."""
     ship(spark)
+    short_batches(spark)
     return language_id.keep_identified(docs, language_id.train(docs))
 
 
