@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .stage import ship
+from .stage import release, ship
 
 _REMEMBER = 1 << 18  # pre-tokens of a generation; there are two
 _KEPT = 1 << 16  # pre-tokens that a worker keeps between tasks
@@ -329,7 +329,7 @@ def _coded(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, ke
         finally:
             codec.forget()
             gc.enable()
-            pa.default_memory_pool().release_unused()
+            release()
 
     chosen = [F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)]
     found = docs.select(*chosen, F.col(f"`{text}`").alias("t"))

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stage import release
+
 _LETTER = re.compile(r"[^\W\d_]")
 SLICE = 1 << 18  # characters that are hashed at a time
 
@@ -186,6 +188,7 @@ def predictor(docs: DataFrame, model: Model, text: str = "text") -> Column:
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             yield score(batch, sent.value)
+        release()
 
     return predict(F.col(text))
 

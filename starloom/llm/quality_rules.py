@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import Tables, fresh_name
+from .stage import Tables, fresh_name, release
 from .text import measures
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -41,6 +41,7 @@ def _measured(text: Column) -> Column:
     def each(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             yield pd.DataFrame([measures(t) for t in batch], columns=MEASURES, dtype="int64")
+        release()
 
     return each(text)
 

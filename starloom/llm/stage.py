@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Iterable
 from pathlib import Path
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,14 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, _ROWS["texts"])
 
 
+def release() -> None:
+    """Give memory that a task of a Python worker has freed back to the system. The C library keeps
+    some hundred megabytes of it else, in each of the workers that wait for other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
