@@ -2,12 +2,17 @@
 
 Markup is stripped to lines, one per block. What stands in menus, headers, footers,
 sidebars, forms, notices, adverts, comments, scripts and the like leaves a gap of
-empty lines, as in a page's own source. The text lengths over a sliding window of
-lines form a curve: it *surges* where a window rises above the threshold and *dives*
-where a window is empty again; text between a surge and the next dive is kept. A page
-with an ``article`` or ``main`` has its text there, so lines outside count as gaps and
-any text inside surges. On other pages a stretch must reach a fixed few characters in
-some window, or the page's highest window if that is lower, and the text of links does not count.
+empty lines, as in a page's own source, and so do the bounds of an ``article`` or ``main``.
+Every line weighs its characters outside links less those in links, at least 0; a heading's
+links are its text. The weights over a sliding window of lines form a curve: it *surges* where
+a window rises to the threshold and *dives* where a window is empty again; text between a
+surge and the next dive is kept, lines of links too. So a list of links alone is a menu, links
+amid text are text.
+
+A page that marks its content with ``article`` or ``main`` has it raised: lines inside weigh
+all their characters and the threshold more, which is ``lift`` times the highest window
+inside (of ``crowd`` characters at least). Lines outside surge only where they are denser than
+that, as where the marked elements are teasers beside the text.
 
 Cases: a null or empty page, or one without text, has the empty string; elements
 that are never closed end with the page, chrome also where the article begins, and chrome whose
@@ -22,11 +27,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .stage import fresh_name
+
 # Elements by their part in a page.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt"
@@ -42,14 +50,29 @@ CHROME = frozenset(
 )
 CONTENT = frozenset("article main".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-CHROME_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banners?|sponsor\w*|promo\w*|comments?|comment\w*|replies|reply"
-    r"|disqus|respond|sidebars?|side|widgets?|related|recommend\w*|share|sharing|social|newsletter"
-    r"|subscribe|signup|login|cookies?|consent|gdpr|notices?|popup|modal|overlay|alert|nav\w*|menus?"
-    r"|breadcrumbs?|pagination|pager|header|masthead|footer|copyright|skip|toolbar|tags?|hidden"
-    r"|discussion)(?:$|[\s_-])",
-    re.IGNORECASE,
+#: Words of classes and ids. A name says what it is by its last word, as English compounds do, once words
+#: for containers are off its end: ``cookie-notice`` and ``ad-slot`` are chrome, ``side-effects`` is not.
+CHROME_NOUNS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising banner banners breadcrumb"
+    " breadcrumbs comments commentform commentlist cookie cookies disqus footer gdpr header login"
+    " masthead menu menus modal nav navbar navigation newsletter notice notices overlay pager"
+    " pagination popup promo promos promoted promotion promotions recommended recommendations related"
+    " replies share sharing sidebar sidebars signup social sponsor sponsored sponsors subscribe"
+    " toolbar widget widgets".split()
+)
+#: These are chrome as whole names only, as in ``tag-list``: they qualify other words in articles.
+CHROME_WHOLE = frozenset(
+    "alert comment consent copyright discussion hidden reply respond side skip tag tags".split()
+)
+CONTAINERS = frozenset(
+    "area articles bar block body bottom box button buttons col column container content form group"
+    " holder icons inner item items left link links list outer panel placeholder posts region right"
+    " section slot stories text thread top unit wrap wrapper zone".split()
 )
+#: A header of these is a part of the text.
+HEADED = frozenset("article chapter content entry part post section story table".split())
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CHROME_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar"
     " toolbar".split()
@@ -96,7 +119,22 @@ _NAMED = re.compile(
 @dataclass(frozen=True)
 class Spec:
     window: int = 3
-    least: int = 40  # characters that a window surges at, for pages without article or main
+    least: int = 1  # weight that a window surges at, on pages without article or main
+    lift: int = 4  # how much denser than the marked content text outside of it must be
+    crowd: int = 100  # characters of a window that marked content counts for at least
+
+
+@lru_cache(maxsize=4096)
+def _names_chrome(name: str, heading: bool) -> bool:
+    """Whether a class or id names a part of a page that is not its text."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    while words and words[-1] in CONTAINERS:
+        words.pop()
+    if not words:
+        return False
+    if words[-1] == "header" and (heading or HEADED.intersection(words)):
+        return False
+    return words[-1] in CHROME_NOUNS or (len(words) == 1 and words[0] in CHROME_WHOLE)
 
 
 def _is_chrome(name: str, attributes: str) -> bool:
@@ -106,7 +144,7 @@ def _is_chrome(name: str, attributes: str) -> bool:
         return False
     for found in _NAMED.finditer(attributes):
         what, value = found.group(1).lower(), (found.group(2) or "").strip("\"'")
-        if what in ("class", "id") and CHROME_NAMES.search(value):
+        if what in ("class", "id") and any(_names_chrome(c, name in HEADINGS) for c in value.split()):
             return True
         if what == "role" and value.lower() in CHROME_ROLES:
             return True
@@ -148,12 +186,13 @@ class _Omitted:
 
 
 def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """``(text, characters outside links, inside content)`` of each line of a page, and
-    whether the page marks its content. Chrome leaves ``_GAP`` empty lines."""
+    """``(text, weight, inside content)`` of each line of a page, and whether the page marks its
+    content. Chrome and the bounds of content leave ``_GAP`` empty lines."""
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
     link_depth = 0
+    heading = False
     content = 0
     marked = False
     chrome: str | None = None  # the element we are skipping, and how often it is open
@@ -167,7 +206,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         nonlocal linked
         if piece and chrome is None:
             parts.append(piece)
-            if link_depth:
+            if link_depth and not heading:
                 linked += len(piece)
 
     def end_line() -> None:
@@ -175,7 +214,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if parts:
             whole = " ".join(html.unescape("".join(parts)).split())
             if whole:
-                out.append((whole, max(0, len(whole) - linked), content > 0))
+                out.append((whole, max(0, len(whole) - 2 * linked), content > 0))
             parts.clear()
         linked = 0
 
@@ -226,8 +265,12 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if name == "a":
             link_depth = max(0, link_depth + (-1 if closing else 1))
         if closing or empty:
-            if closing and name in CONTENT:
-                content = max(0, content - 1)
+            if name in HEADINGS:
+                heading = False
+            if closing and name in CONTENT and content:
+                content -= 1
+                if not content:
+                    gap()
             if closing and outer[name]:
                 outer[name] -= 1
             continue
@@ -240,38 +283,48 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             continue
         if name in _PARENTS:
             outer[name] += 1
+        heading = name in HEADINGS or (heading and name not in BLOCKS)
         if name in CONTENT:
+            if not content:
+                gap()
             content += 1
             marked = True
     end_line()
     return out, marked
 
 
-def kept_lines(rows: list[tuple[str, int, bool]], marked: bool, spec: Spec) -> list[str]:
-    """The lines between surges and dives of the curve of window sums."""
-    if marked:
-        weights = [len(text) if inside else 0 for text, _, inside in rows]
-        surge = 1
-    else:
-        weights = [outside for _, outside, _ in rows]
-    width = spec.window
+def _curve(weights: list[int], width: int) -> list[int]:
+    """The sums of the windows that end with each line."""
     sums, total = [], 0
-    for i, weight in enumerate(weights):  # window i ends with line i
+    for i, weight in enumerate(weights):
         total += weight - (weights[i - width] if i >= width else 0)
         sums.append(total)
-    if not marked:
-        surge = max(1, min(max(sums, default=0), spec.least))
+    return sums
+
+
+def kept_lines(rows: list[tuple[str, int, bool]], marked: bool, spec: Spec) -> list[str]:
+    """The lines between surges and dives of the curve of window sums."""
+    surge = spec.least
+    weights = [weight for _, weight, _ in rows]
+    if marked:
+        dense = max(_curve([len(text) * inside for text, _, inside in rows], spec.window), default=0)
+        surge = spec.lift * max(dense, spec.crowd)
+        weights = [
+            len(text) + surge if inside and text else weight
+            for (text, _, inside), weight in zip(rows, weights, strict=True)
+        ]
+    sums = _curve(weights, spec.window)
     out: list[str] = []
     start = 0
     while start < len(rows):
         if not weights[start]:
             start += 1
             continue
-        end = start  # the dive: the next window without text
+        end = start  # the dive: the next window without weight
         while end < len(rows) and sums[end] > 0:
             end += 1
         if max(sums[start:end]) >= surge:
-            out += [rows[i][0] for i in range(start, end) if weights[i]]
+            out += [text for text, _, _ in rows[start:end] if text]
         start = end
     return out
 
@@ -296,6 +349,7 @@ def extract(pages: DataFrame, *, page: str = "html", spec: Spec = Spec()) -> Dat
             yield pd.DataFrame({"text": texts, "n_chars": [len(t) for t in texts]})
 
     kept = [c for c in pages.columns if c.lower() not in ("text", "n_chars", page.lower())]
-    return pages.select(*kept, found(F.col(page)).alias("_found")).select(
-        *kept, "_found.text", "_found.n_chars"
+    both = fresh_name(kept, "_found")
+    return pages.select(*kept, found(F.col(page)).alias(both)).select(
+        *kept, f"{both}.text", f"{both}.n_chars"
     )

@@ -168,6 +168,76 @@ def test_a_long_paragraph_does_not_hide_the_others():
     assert [len(x) for x in out] == [6000, *[295] * 5, 59]
 
 
+def brute_kept(rows, marked, spec):
+    """Window sums taken one by one, and the runs of lines between empty windows."""
+    def window(of, i):
+        return sum(of[max(0, i - spec.window + 1) : i + 1])
+
+    weights, surge = [w for _, w, _ in rows], spec.least
+    if marked:
+        inside = [len(t) if c else 0 for t, _, c in rows]
+        surge = spec.lift * max([spec.crowd, *(window(inside, i) for i in range(len(rows)))])
+        weights = [n + surge if n else w for n, w in zip(inside, weights, strict=True)]
+    runs, open_ = [], False
+    for i, (text, _, _) in enumerate(rows):
+        if not window(weights, i) or not (open_ or weights[i]):
+            open_ = False
+            continue
+        if not open_:
+            runs.append([0, []])
+            open_ = True
+        runs[-1][0] = max(runs[-1][0], window(weights, i))
+        runs[-1][1] += [text] if text else []
+    return [t for top, texts in runs if top >= surge for t in texts]
+
+
+PIECES = st.sampled_from(
+    ["<p>short</p>", f"<p>{'long text ' * 30}</p>", "<p><a>link of words</a></p>", "<form>x</form>",
+     "<article>", "</article>", "<main>", "</main>", "<h2><a>head</a></h2>", "<p>a <a>b</a></p>"]
+)
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(PIECES, max_size=25), st.integers(1, 5))
+def test_kept_lines_are_those_of_the_curve(pieces, width):
+    rows, marked = html_text.lines("".join(pieces))
+    spec = html_text.Spec(window=width)
+    assert html_text.kept_lines(rows, marked, spec) == brute_kept(rows, marked, spec)
+
+
+def test_the_window_decides_what_links_amid_text_are():
+    page = "<p>one</p><p><a>two</a></p><p><a>three</a></p><p>four</p>"
+    kept = {w: html_text.main_text(page, html_text.Spec(window=w)) for w in (1, 2, 3)}
+    assert kept == {1: "one\nfour", 2: "one\ntwo\nfour", 3: "one\ntwo\nthree\nfour"}
+
+
+def test_marked_teasers_do_not_hide_denser_text():
+    card = "<article><h3><a>Teaser</a></h3></article>"
+    text = "".join(f"<p>{i} {'ordinary text ' * 30}</p>" for i in range(4))
+    out = html_text.main_text(f"{card * 2}<div>{text}</div><form>f</form><div>stray words</div>")
+    assert out.count("ordinary") == 120 and "stray" not in out
+
+
+@pytest.mark.parametrize("name", ["side-effects", "section-header", "commentary", "cookie-recipe", "related-work"])
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_names_of_text_are_not_chrome(name, element):
+    page = f"<{element}><p>one</p><h2 class={name}>two</h2><div id={name}>three</div></{element}>"
+    assert html_text.main_text(page) == "one\ntwo\nthree"
+
+
+@pytest.mark.parametrize(
+    "name", ["site-header", "page_footer", "ad-slot", "sidebar-left", "cookie-notice", "commentList",
+             "comments-area", "sideBar", "tags", "x promo", "related-posts", "share-buttons"]
+)
+def test_names_of_chrome(name):
+    assert html_text.main_text(f"<article><p>one</p><div class='{name}'>no</div></article>") == "one"
+
+
+def test_unmarked_pages_lose_no_short_blocks():
+    page = f"<p>{'long text ' * 30}</p><form>f</form><p>Hi there.</p><form>f</form><p>a</p><p>b</p><p>c</p>"
+    assert html_text.main_text(page).split("\n")[1:] == ["Hi there.", "a", "b", "c"]
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
