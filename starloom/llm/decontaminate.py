@@ -38,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import Tables
+from .stage import Tables, fresh_name
 
 # Units that may follow a number.
 UNITS = (
@@ -348,6 +348,7 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **
     digest = F.unhex(F.md5(F.col(text).cast("binary")))
     own = docs.select(digest.alias("_digest"), F.col(text).alias("_text"))
     leaks = find_leaks(own, benchmark, key="_digest", text="_text", **options)
-    leaks = leaks.select(F.col("_digest").alias("_leak")).distinct()
+    leak = fresh_name(docs.columns, "_leak")
+    leaks = leaks.select(F.col("_digest").alias(leak)).distinct()
     leaks = Tables(docs.sparkSession).write(leaks, "leaks")
-    return docs.join(leaks, digest == F.col("_leak"), "left_anti")
+    return docs.join(leaks, digest == F.col(leak), "left_anti")

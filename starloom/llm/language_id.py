@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import release
+from .stage import fresh_name, release
 
 _LETTER = re.compile(r"[^\W\d_]")
 SLICE = 1 << 18  # characters that are hashed at a time
@@ -197,9 +197,8 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """The documents with ``lang_pred`` and ``score``."""
     found = predictor(docs, model, text)
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    return docs.select(*kept, found.alias("_found")).select(
-        *kept, F.col("_found.lang_pred"), F.col("_found.score")
-    )
+    both = fresh_name(kept, "_found")
+    return docs.select(*kept, found.alias(both)).select(*kept, f"{both}.lang_pred", f"{both}.score")
 
 
 def keep_identified(

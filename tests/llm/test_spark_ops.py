@@ -318,3 +318,30 @@ def test_parts_give_the_same_path_as_the_whole(spark):
         joined[r.conv_id] = joined.get(r.conv_id, "") + r.chat
     assert joined == {r.conv_id: r.chat for r in whole}
     assert np.isfinite([len(c) for c in joined.values()]).all()
+
+
+CLASH = "doc_id long, text string, lang string, _found string, _leak string, _gone string, _digest string"
+
+
+@pytest.mark.parametrize("n", [0, 3])
+def test_clashing_names_and_empty_tables(spark, n):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words), "en", "f", "l", "g", "d") for i in range(n)]
+    docs = spark.createDataFrame(rows, CLASH)
+    bench = spark.createDataFrame([(0, " ".join(words[5:30]))], "item_id long, text string")
+    model = language_id.train(docs)
+    pages = html_text.extract(docs.withColumnRenamed("text", "html"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    found = {
+        "pages": pages, "languages": language_id.identify(docs, model),
+        "kept": language_id.keep_identified(docs, model),
+        "clean": decontaminate.drop_leaked(docs, bench),
+        "unlike": decontaminate.drop_leaked(docs, bench.where("item_id > 0")),
+        "one": near_dedup.keep_one_of_each(docs),
+        "coded": byte_bpe.encode(docs, {bytes([i]): i for i in range(256)}, r"\S+|\s+"),
+        "scored": quality_classifier.classify(docs, quality_classifier.train(docs, labels)),
+    }
+    counts = {name: df.count() for name, df in found.items()}
+    assert counts == dict.fromkeys(found, n) | {"clean": 0, "one": min(n, 1)}
+    for df in found.values():
+        assert {"_found", "_leak", "_gone", "_digest"} <= set(df.columns)
