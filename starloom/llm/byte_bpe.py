@@ -41,8 +41,8 @@ from .stage import release, ship
 _REMEMBER = 1 << 18  # pre-tokens of a generation; there are two
 _KEPT = 1 << 16  # pre-tokens that a worker keeps between tasks
 _SHORT = 64  # bytes of a pre-token worth remembering
-_TEXT = 1 << 22  # bytes of text that are encoded and sent on together, or a longer one alone
-_BUFFER = 1 << 20  # bytes of pre-tokens that are merged together, or a longer one alone
+_TEXT = 1 << 20  # bytes of text that are encoded and sent on together, or a longer one alone
+_BUFFER = 1 << 18  # bytes of pre-tokens that are merged together, or a longer one alone
 _BIT = [1 << i for i in range(256)]
 
 
