@@ -7,13 +7,16 @@ sample of labelled turns. Viterbi finds the best path of roles, markers are take
 off, and turns are rendered in one canonical form.
 
 Long conversations are decoded in parts, exactly: a part first becomes a matrix of best
-scores between the state before it and the state at its end (products in max-plus
-algebra are associative); the matrices of a conversation, one small row per part,
-give the states at the borders; then every part is decoded between its borders. So no
-task holds a conversation, and what is gathered for one is smaller by the size of a part.
+scores between the state before it and the state at its end. Products in max-plus
+algebra are associative, so neighbouring matrices are multiplied by groups of ``fan`` parts,
+in rounds, until no conversation has more than ``fan`` left; on the way back each round
+gives the states at the borders of the round before. Then every part is decoded between
+its borders. So no task holds a conversation, or a row for each of its parts; a task holds
+one part, whose size is the caller's to bound. For the matrices only the numbers of what
+a line shows are shuffled; texts are, once, for the decoding.
 
 Cases: a null line is empty; a null conversation is one of its own; lines of equal order
-go by their text, repeated ones stay; ties between paths go to the first role in
+go by what they show, then by their text, repeated ones stay; ties between paths go to the first role in
 alphabetical order; an empty table gives no rows; roles never seen in training are not
 predicted; other columns are not read.
 """
@@ -21,6 +24,7 @@ predicted; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -29,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import Tables
+from .stage import Tables, below_hash
 
 # Words that mark a speaker, by the kind of marker they are.
 SPEAKERS = {
@@ -61,13 +65,18 @@ def observe(line: str | None) -> tuple[int, int, int]:
     """Numbers of a line's marker, length and ending."""
     kind, rest = split_marker(line or "")
     rest = rest.strip()
-    length = int(np.searchsorted(_LENGTHS, len(rest), side="right"))
-    return KINDS.index(kind), length, int(rest.endswith("?"))
+    return KINDS.index(kind), bisect_right(_LENGTHS, len(rest)), int(rest.endswith("?"))
 
 
 _SIZES = (len(KINDS), len(_LENGTHS) + 1, 2)
 
 
+def shown(lines: Sequence[str | None]) -> np.ndarray:
+    """What each line shows, as one number."""
+    seen = np.array([observe(line) for line in lines], np.int64).reshape(-1, len(_SIZES))
+    return np.ravel_multi_index(tuple(seen.T), _SIZES)
+
+
 @dataclass(frozen=True)
 class Hmm:
     roles: tuple[str, ...]
@@ -75,43 +84,46 @@ class Hmm:
     move: np.ndarray
     show: tuple[np.ndarray, ...]  # per feature: states x values
 
-    def emissions(self, lines: Sequence[str | None]) -> np.ndarray:
-        seen = np.array([observe(line) for line in lines]).reshape(-1, len(_SIZES))
-        return sum(show[:, seen[:, i]].T for i, show in enumerate(self.show))
+    def emissions(self, seen: np.ndarray) -> np.ndarray:
+        """Per line, by the numbers of ``shown``, the score of each state."""
+        values = np.unravel_index(np.asarray(seen, np.int64), _SIZES)
+        return sum(show[:, v].T for show, v in zip(self.show, values, strict=True))
 
-    def span(self, lines: Sequence[str | None]) -> np.ndarray:
-        """Best scores from each state before the lines to each state at their end."""
-        best = None
-        for score in self.emissions(lines):
+    def span(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best scores from each state before the lines to each state at their end, and
+        those of each state at their end if a conversation begins with them."""
+        best, head = self.move + scores[0], self.start + scores[0]
+        for score in scores[1:]:
             step = self.move + score
-            best = step if best is None else (best[:, :, None] + step[None]).max(axis=1)
-        return best
+            best, head = times(best, step), after(head, step)
+        return best, head
 
-    def decode(self, lines, before: int | None, at_end: int | None) -> list[int]:
+    def decode(self, scores: np.ndarray, before: int | None, at_end: int | None) -> list[int]:
         """The best path between two known states (None: the start, or any end)."""
-        scores = self.emissions(lines)
-        value = (self.start if before is None else self.move[before]) + scores[0]
-        back = []
-        for score in scores[1:]:
-            ways = value[:, None] + self.move
-            back.append(ways.argmax(axis=0))
-            value = ways.max(axis=0) + score
-        path = [int(value.argmax()) if at_end is None else at_end]
-        for from_ in reversed(back):
-            path.append(int(from_[path[-1]]))
-        return path[::-1]
-
-    def borders(self, spans: Sequence[np.ndarray], first: np.ndarray) -> list[int]:
-        """The state at the end of each part; ``first`` scores the first part's ends."""
-        value, back = first, []
-        for span in spans:
-            ways = value[:, None] + span
-            back.append(ways.argmax(axis=0))
-            value = ways.max(axis=0)
-        path = [int(value.argmax())]
-        for from_ in reversed(back):
-            path.append(int(from_[path[-1]]))
-        return path[::-1]
+        first = (self.start if before is None else self.move[before]) + scores[0]
+        return best_path([self.move + score for score in scores[1:]], first, at_end)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The max-plus product of two matrices."""
+    return (a[:, :, None] + b[None]).max(axis=1)
+
+
+def after(value: np.ndarray, step: np.ndarray) -> np.ndarray:
+    return (value[:, None] + step).max(axis=0)
+
+
+def best_path(steps: Sequence[np.ndarray], first: np.ndarray, at_end: int | None = None) -> list[int]:
+    """The best states from ``first``, which scores the first of them, over all ``steps``."""
+    value, back = first, []
+    for step in steps:
+        ways = value[:, None] + step
+        back.append(ways.argmax(axis=0))
+        value = ways.max(axis=0)
+    path = [int(value.argmax()) if at_end is None else at_end]
+    for from_ in reversed(back):
+        path.append(int(from_[path[-1]]))
+    return path[::-1]
 
 
 def train(
@@ -120,10 +132,13 @@ def train(
 ) -> Hmm:
     """Count on at most ``max_lines`` lines, conversations in the order of a hash of their keys.
 
-    ``first`` tells whether a line begins a turn.
+    ``first`` tells whether a line begins a turn. Lines are counted first, and only conversations
+    below a hash that some more than ``max_lines`` are expected to lie under are sorted.
     """
+    labelled = lines.where(F.col(role).isNotNull() & F.col(conv).isNotNull())
+    drawn = below_hash(F.xxhash64(F.col(conv), F.lit(5)), max_lines, labelled.count())
     sample = (
-        lines.where(F.col(role).isNotNull() & F.col(conv).isNotNull())
+        labelled.where(drawn)
         .select(F.col(conv).alias("conv"), F.col(order).alias("at"), F.col(line).alias("line"),
                 F.col(role).alias("role"), F.col(first).alias("first"))
         .orderBy(F.xxhash64("conv", F.lit(5)), "conv", "at", "line")
@@ -160,56 +175,80 @@ def train(
         )
 
 
+def _shown(line: Column) -> Column:
+    @F.pandas_udf("int")
+    def each(lines: pd.Series) -> pd.Series:
+        return pd.Series(shown(lines), dtype="int32")
+
+    return each(line)
+
+
 def render(
     lines: DataFrame, model: Hmm, *, part: Column, conv: str = "conv_id", order: str = "line_no",
-    line: str = "line",
+    line: str = "line", fan: int = 256,
 ) -> DataFrame:
     """Per conversation and part ``conv, part, n_turns, roles, chat``.
 
     ``part`` numbers the parts of a conversation in the order of its lines. The ``chat`` of
     its parts, one after the other, is the canonical rendering; ``roles`` are those of
-    the turns that begin in the part.
+    the turns that begin in the part. ``fan`` is the number of parts that a task multiplies.
     """
     spark = lines.sparkSession
     kind = lines.schema[conv].dataType.simpleString()
     own = lines.select(
         F.col(conv).alias("conv"), part.cast("long").alias("part"), F.col(order).alias("at"),
         F.coalesce(F.col(line), F.lit("")).alias("line"),
-    )
+    ).withColumn("seen", _shown(F.col("line")))
     if not model.roles:
         return spark.createDataFrame([], f"`{conv}` {kind}, part long, n_turns long, roles string, chat string")
     sent = spark.sparkContext.broadcast(model)
     by = ["conv", "part"]
 
+    n = 2 * len(model.roles)
+
+    def one_row(group: pd.DataFrame, number: str, total: np.ndarray, head: np.ndarray) -> pd.DataFrame:
+        out = group[["conv", number]].head(1).set_axis(by, axis=1)
+        return out.assign(span=[total.ravel().tolist()], head=[head.tolist()])
+
+    def matrices(group: pd.DataFrame) -> list[np.ndarray]:
+        return [np.array(s).reshape(n, n) for s in group["span"]]
+
     def span(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["at", "line"], kind="stable")
+        group = group.sort_values(["at", "seen"], kind="stable")
         hmm: Hmm = sent.value
-        scores = hmm.span(group["line"].tolist())
-        head = hmm.start + hmm.emissions(group["line"].tolist()[:1])[0]
-        if len(group) > 1:
-            head = (head[:, None] + hmm.span(group["line"].tolist()[1:])).max(axis=0)
-        out = group[by].head(1).copy()
-        out["span"], out["head"] = [scores.ravel().tolist()], [head.tolist()]
-        return out
+        return one_row(group, "part", *hmm.span(hmm.emissions(group["seen"].to_numpy())))
 
-    def border(group: pd.DataFrame) -> pd.DataFrame:
+    def multiply(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part")
-        n = 2 * len(sent.value.roles)
-        spans = [np.array(s).reshape(n, n) for s in group["span"]]
-        ends = sent.value.borders(spans[1:], np.array(group["head"].iat[0]))
-        out = group[by].copy()
-        out["before"], out["at_end"] = [-1, *ends[:-1]], ends
-        out["last"] = [False] * (len(ends) - 1) + [True]
-        return out
+        total, *rest = matrices(group)
+        head = np.array(group["head"].iat[0])
+        for step in rest:
+            total, head = times(total, step), after(head, step)
+        return one_row(group, "up", total, head)
+
+    def bordered(group: pd.DataFrame, before: int, at_end: int | None, last: bool) -> pd.DataFrame:
+        group = group.sort_values("part")
+        first, *rest = matrices(group)
+        ends = best_path(rest, np.array(group["head"].iat[0]) if before < 0 else first[before], at_end)
+        return group[by].assign(
+            before=[before, *ends[:-1]], at_end=ends, last=[False] * (len(ends) - 1) + [last]
+        )
+
+    def border(group: pd.DataFrame) -> pd.DataFrame:
+        return bordered(group, -1, None, True)
+
+    def within(group: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        return bordered(group, int(outer["before"].iat[0]), int(outer["at_end"].iat[0]), bool(outer["last"].iat[0]))
 
     def decode(lines_of: pd.DataFrame, borders: pd.DataFrame) -> pd.DataFrame:
         if not len(lines_of):
             return pd.DataFrame(columns=["conv", "part", "n_turns", "roles", "chat"])
-        lines_of = lines_of.sort_values(["at", "line"], kind="stable")
+        lines_of = lines_of.sort_values(["at", "seen", "line"], kind="stable")
         hmm: Hmm = sent.value
         texts = lines_of["line"].tolist()
         before = int(borders["before"].iat[0])
-        path = hmm.decode(texts, None if before < 0 else before, int(borders["at_end"].iat[0]))
+        scores = hmm.emissions(lines_of["seen"].to_numpy())
+        path = hmm.decode(scores, None if before < 0 else before, int(borders["at_end"].iat[0]))
         roles, pieces = [], []
         for i, (text, state) in enumerate(zip(texts, path, strict=True)):
             if state % 2 == 0:
@@ -227,11 +266,22 @@ def render(
         return out
 
     types = f"conv {kind}, part long"
-    spans = own.groupBy(*by).applyInPandas(span, f"{types}, span array<double>, head array<double>")
-    borders = Tables(spark).write(
-        spans.groupBy("conv").applyInPandas(border, f"{types}, before int, at_end int, last boolean"),
-        "borders",
-    )
+    rows, ends = f"{types}, span array<double>, head array<double>", f"{types}, before int, at_end int, last boolean"
+    up = F.floor(F.col("part") / fan)
+    tables = Tables(spark)
+    seen = own.select("conv", "part", "at", "seen")
+    rounds = [tables.write(seen.groupBy(*by).applyInPandas(span, rows), "spans")]
+    while (rounds[-1].groupBy("conv").count().agg(F.max("count")).head()[0] or 0) > fan:
+        wider = rounds[-1].withColumn("up", up).groupBy("conv", "up").applyInPandas(multiply, rows)
+        rounds.append(tables.write(wider, "spans"))
+    borders = tables.write(rounds[-1].groupBy("conv").applyInPandas(border, ends), "borders")
+    for members in reversed(rounds[:-1]):
+        outer = borders.withColumnRenamed("part", "up").groupBy("conv", "up")
+        inner = members.withColumn("up", up).groupBy("conv", "up").cogroup(outer).applyInPandas(within, ends)
+        inner = tables.write(inner, "borders")
+        tables.drop(borders)
+        borders = inner
+    tables.drop(*rounds)
     return (
         own.groupBy(*by)
         .cogroup(borders.groupBy(*by))

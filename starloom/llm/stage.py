@@ -94,5 +94,12 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 4 == 2
 
 
+def below_hash(hashed: Column, wanted: int, rows: int) -> Column:
+    """Whether a 64-bit hash is among the lowest, so many that ``wanted`` of ``rows`` rows and some
+    more are expected there: what is sorted to draw them does not grow with the input."""
+    share = 1.25 * (wanted + 1000) / max(rows, 1)
+    return F.lit(True) if share >= 1 else hashed < -(1 << 63) + int(share * (1 << 64))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import byte_bpe, chat_format, decontaminate, html_text, language_id, near_dedup
 from starloom.llm import quality_classifier, quality_rules, sharding, warc
+from starloom.llm.stage import below_hash
 from starloom.llm.components import components
 from starloom.llm.text import shingles
 
@@ -305,12 +306,13 @@ def test_roles_are_recovered(spark):
     assert all(r.chat.endswith("<|end|>\n") for r in got)
 
 
-def test_parts_give_the_same_path_as_the_whole(spark):
+@pytest.mark.parametrize("fan", [2, 256])
+def test_parts_give_the_same_path_as_the_whole(spark, fan):
     rows = [(1, t, "assistant" if t % 2 else "user", "w " * (60 if t % 2 else 4)) for t in range(50)] + turns(20)
     lines = chat_format.transcripts(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
     model = chat_format.train(lines)
     whole, parts = (
-        chat_format.render(lines, model, part=F.floor(F.col("turn") / size)).orderBy("part").collect()
+        chat_format.render(lines, model, part=F.floor(F.col("turn") / size), fan=fan).orderBy("part").collect()
         for size in (10_000, 3)
     )
     joined = {}
@@ -320,6 +322,17 @@ def test_parts_give_the_same_path_as_the_whole(spark):
     assert np.isfinite([len(c) for c in joined.values()]).all()
 
 
+def test_training_lines_are_drawn_below_a_hash(spark):
+    rows = turns(3000)
+    lines = chat_format.transcripts(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    drawn = below_hash(F.xxhash64("conv_id", F.lit(5)), 2000, lines.count())
+    assert 2000 <= lines.where(drawn).count() <= 5000 < lines.count()
+    in_order = lines.orderBy(F.xxhash64("conv_id", F.lit(5)), "conv_id", "line_no", "line").limit(2000)
+    want = chat_format.train(in_order, max_lines=10**9)
+    got = chat_format.train(lines, max_lines=2000)
+    assert got.roles == want.roles and np.array_equal(got.move, want.move) and np.array_equal(got.start, want.start)
+
+
 CLASH = "doc_id long, text string, lang string, _found string, _leak string, _gone string, _digest string"
 
 

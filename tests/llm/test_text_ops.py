@@ -1,6 +1,7 @@
 """Operators whose work is plain Python per text, against brute force."""
 
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -326,3 +327,27 @@ def test_markers():
     assert chat_format.split_marker("Note: x") == ("other", "Note: x")
     assert chat_format.split_marker("no marker") == ("none", "no marker")
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
+
+
+def test_viterbi_equals_the_best_of_all_paths():
+    rng = np.random.default_rng(3)
+    sizes = chat_format._SIZES
+    hmm = chat_format.Hmm(("a", "b"), rng.normal(size=4), rng.normal(size=(4, 4)),
+                          tuple(rng.normal(size=(4, k)) for k in sizes))
+    scores = hmm.emissions(chat_format.shown(["User: hi?", None, "x" * 200, "Bot: no", "yes"]))
+
+    def value(path, before):
+        steps = [(before, path[0]), *itertools.pairwise(path)]
+        moves = (hmm.start[b] if a is None else hmm.move[a, b] for a, b in steps)
+        return sum(moves) + sum(scores[i, state] for i, state in enumerate(path))
+
+    paths = list(itertools.product(range(4), repeat=len(scores)))
+    for before, at_end in itertools.product((None, 0, 3), (None, 0, 3)):
+        allowed = (p for p in paths if at_end is None or p[-1] == at_end)
+        best = max(allowed, key=lambda p: value(p, before))
+        assert hmm.decode(scores, before, at_end) == list(best)
+    whole, head = hmm.span(scores)
+    for end in range(4):
+        ending = [p for p in paths if p[-1] == end]
+        assert np.isclose(head[end], max(value(p, None) for p in ending))
+        assert np.allclose(whole[:, end], [max(value(p, b) for p in ending) for b in range(4)])
