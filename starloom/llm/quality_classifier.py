@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stage import below_hash
 from .text import measures
 
 N_FEATURES = 9
@@ -126,15 +127,20 @@ def train(
     max_rows: int = 20_000,
     threshold: float = 0.7,
 ) -> Ranker:
-    """Learn from at most ``max_rows`` labelled documents, drawn by a hash of their keys."""
-    marks = (
+    """Learn from at most ``max_rows`` labelled documents, drawn by a hash of their keys.
+
+    Labelled keys are counted first, and only those below a hash that some more than ``max_rows``
+    are expected to lie under are sorted.
+    """
+    marked = (
         labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
         .groupBy(F.col(key).alias("_key"))
         .agg(F.min(label).alias("_label"))
-        # before any text is read; the order of hashes is that of a random draw
-        .orderBy(F.xxhash64("_key", F.lit(11)), "_key")
-        .limit(max_rows)
     )
+    hashed = F.xxhash64("_key", F.lit(11))
+    # before any text is read; the order of hashes is that of a random draw
+    drawn = marked.where(below_hash(hashed, max_rows, marked.count()))
+    marks = drawn.orderBy(hashed, "_key").limit(max_rows)
     # max_rows bounds what is broadcast
     own = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text"))
     sample = (

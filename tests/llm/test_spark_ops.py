@@ -358,3 +358,14 @@ def test_clashing_names_and_empty_tables(spark, n):
     assert counts == dict.fromkeys(found, n) | {"clean": 0, "one": min(n, 1)}
     for df in found.values():
         assert {"_found", "_leak", "_gone", "_digest"} <= set(df.columns)
+
+
+def test_training_rows_are_the_lowest_hashes(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["a", "few", "words"] if i % 3 else ["#", "*"], k=30)), i % 3 and 1) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    labels = docs.select("doc_id", "quality")
+    lowest = labels.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(500)
+    want = quality_classifier.train(docs, lowest, max_rows=10**6)
+    got = quality_classifier.train(docs, labels, max_rows=500)
+    assert np.allclose(got.weights, want.weights) and np.isclose(got.cutoff, want.cutoff)
