@@ -194,8 +194,8 @@ def column_profile(
 
     NaN counts as missing. Quartiles are values of the column. By default they
     come from sketches of fixed size, off by at most 1/accuracy of the values (see
-    ``sketched_quantiles``); ``exact`` takes three scans or more instead, guided by them (see
-    ``exact_quantiles``). ``numeric_text`` gives mean, deviation and quartiles for those texts
+    ``sketched_quantiles``); ``exact`` takes three scans or more instead, guided by them, some of
+    them of each column by itself (see ``exact_quantiles``): pass a table written by columns. ``numeric_text`` gives mean, deviation and quartiles for those texts
     that are numbers, beside the smallest and largest text.
     """
     columns = list(columns or df.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -87,8 +88,11 @@ def exact_quantiles(
     counts the values below and in all intervals. An interval with more than ``slice_rows``
     values is sketched again by itself and shrinks by the sketch's error each time, until
     it is short, a single value, or mostly copies of a few values. A last scan keeps only the values in the intervals, counted
-    before they are shuffled, and ranks them. The driver holds a few numbers per
-    column and quantile; nothing of the input's size is shuffled or written.
+    before they are shuffled, and ranks them; an interval that is a single value needs none. The driver
+    holds a few numbers per column and quantile; nothing of the input's size is shuffled or written.
+
+    Counts and values are taken from each column by itself, as an aggregate of all columns is too
+    long for the JVM to compile: pass a table written by columns.
     """
     spark = df.sparkSession
     values = {c: _value(c) for c in columns}
@@ -142,13 +146,26 @@ def _counted(df: DataFrame, values: Mapping[str, Column], targets: list[_Target]
     """The targets with their counts, by one scan; an interval that misses its rank, as a
     sketch's may with a small chance, is opened to the side where the rank lies."""
     while True:
-        found = df.agg(
-            *[F.count_if(_below(values[t.column], t)).alias(f"b{i}") for i, t in enumerate(targets)],
-            *[F.count_if(t.holds(values[t.column])).alias(f"i{i}") for i, t in enumerate(targets)],
-        ).first()
+        counts = [
+            df.select(values[name].alias("value")).agg(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(i).alias("target"),
+                            F.count_if(_below(F.col("value"), t)).alias("below"),
+                            F.count_if(t.holds(F.col("value"))).alias("inside"),
+                        )
+                        for i, t in some
+                    ]
+                ).alias("found")
+            )
+            for name, some in _by_column(targets).items()
+        ]
+        rows = reduce(DataFrame.unionByName, counts).select(F.inline("found")).collect()
+        found = {r["target"]: (r["below"], r["inside"]) for r in rows}
         out, missed = [], False
         for i, t in enumerate(targets):
-            below, inside = found[f"b{i}"], found[f"i{i}"]
+            below, inside = found[i]
             low, high = t.low, t.high
             if t.rank <= below:
                 low, missed = None, True
@@ -160,6 +177,14 @@ def _counted(df: DataFrame, values: Mapping[str, Column], targets: list[_Target]
             return targets
 
 
+def _by_column(targets: list[_Target]) -> dict[str, list[tuple[int, _Target]]]:
+    """The targets and their numbers, by column."""
+    out: dict[str, list[tuple[int, _Target]]] = {}
+    for i, t in enumerate(targets):
+        out.setdefault(t.column, []).append((i, t))
+    return out
+
+
 def _below(value: Column, target: _Target) -> Column:
     return F.lit(False) if target.low is None else value < target.low
 
@@ -182,27 +207,34 @@ def _narrowed(df: DataFrame, values: Mapping[str, Column], targets: list[_Target
 
 def _values_at(df: DataFrame, values: Mapping[str, Column], targets: list[_Target],
                quantiles: Mapping[str, float]) -> DataFrame:
-    kept = F.array(
-        *[
-            F.when(t.holds(values[t.column]), F.struct(F.lit(i).alias("target"), values[t.column].alias("value")))
-            for i, t in enumerate(targets)
-        ]
+    known = [(t.column, t.quantile, t.low + 0.0) for t in targets if t.found]  # 0.0 for -0.0
+    rows = df.sparkSession.createDataFrame(known, "column string, q string, value double")
+    targets = [t for t in targets if not t.found]
+    if targets:
+        rows = rows.unionByName(_ranked(df, values, targets))
+    return rows.groupBy("column").agg(
+        *[F.min(F.when(F.col("q") == q, F.col("value"))).alias(q) for q in quantiles]
     )
-    counted = (
-        df.select(F.explode(F.array_compact(kept)).alias("v"))
-        .groupBy("v.target", "v.value")
-        .agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ranked(df: DataFrame, values: Mapping[str, Column], targets: list[_Target]) -> DataFrame:
+    """``column, q, value`` of targets, by the values in their intervals."""
+    inside = []
+    for name, some in _by_column(targets).items():
+        value = F.col("value")
+        of = F.array(*[F.when(t.holds(value), F.lit(i)) for i, t in some])
+        kept = df.select(values[name].alias("value")).where(reduce(Column.__or__, [t.holds(value) for _, t in some]))
+        inside.append(kept.select(F.explode(F.array_compact(of)).alias("target"), "value"))
+    # each column is counted before its values are shuffled
+    counted = settle(
+        reduce(DataFrame.unionByName, inside).groupBy("target", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    counted = settle(counted)
     running = Window.partitionBy("target").orderBy("value")
     local = F.element_at(F.array(*[F.lit(t.rank - t.below) for t in targets]), F.col("target") + 1)
     reached = counted.select(
         "target", F.when(F.sum("n").over(running) >= local, F.col("value")).alias("value")
     )
     named = F.array(*[F.struct(F.lit(t.column).alias("column"), F.lit(t.quantile).alias("q")) for t in targets])
-    found = reached.groupBy("target").agg(F.min("value").alias("value")).select(
+    return reached.groupBy("target").agg(F.min("value").alias("value")).select(
         F.element_at(named, F.col("target") + 1).alias("t"), "value"
-    )
-    return found.groupBy(F.col("t.column").alias("column")).agg(
-        *[F.min(F.when(F.col("t.q") == q, F.col("value"))).alias(q) for q in quantiles]
-    )
+    ).select("t.column", "t.q", "value")

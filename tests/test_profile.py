@@ -142,6 +142,13 @@ def test_exact_quantiles_shuffle_candidates_only(spark, monkeypatch):
     assert written[0].count() < 50_000 * 3 * 4 / 1000
 
 
+def test_exact_quantiles_that_are_single_values_need_no_last_scan(spark, monkeypatch):
+    df = spark.range(0, 3_000, 1, 3).select((F.col("id") % 3).cast("double").alias("x"), F.lit(-0.0).alias("zero"))
+    monkeypatch.setattr(quantiles, "settle", None)
+    found = tuples(exact_quantiles(df, ["x", "zero"], {"low": 0.1, "high": 0.9}))
+    assert sorted(found) == [("x", 0.0, 2.0), ("zero", 0.0, 0.0)]
+
+
 def test_exact_quantiles_without_values(spark):
     df = spark.createDataFrame([(None, 1.0), (NAN, 2.0)], "empty double, two double")
     assert tuples(exact_quantiles(df, ["empty", "two"], QUARTILES)) == [("two", 1.0, 1.0, 2.0)]
