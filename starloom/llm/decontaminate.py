@@ -78,7 +78,8 @@ def _numbered(text: Column) -> Column:
 def _forms(numbered: Column) -> list[Column]:
     """The canonical and the folded tokens of a text with its numbers replaced."""
     named = F.regexp_replace(numbered, r"(?<!\S)[^\s\p{L}<]*+\p{Lu}\S*+", "<name>")
-    end = r"(?<=\S)[.,;:!?)\"']+(?=\s|\z)"
+    # the marks first, so that only they are looked behind
+    end = r"[.,;:!?)\"'](?<=\S.)[.,;:!?)\"']*+(?=\s|\z)"
     return [
         raw_tokens(F.lower(F.regexp_replace(named, end, ""))),
         raw_tokens(_fold(F.regexp_replace(numbered, end, ""))),

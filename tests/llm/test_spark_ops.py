@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import byte_bpe, chat_format, decontaminate, html_text, language_id, near_dedup
+from starloom.llm import components as component_rounds
 from starloom.llm import quality_classifier, quality_rules, sharding, warc
 from starloom.llm.stage import below_hash
 from starloom.llm.components import components
@@ -91,6 +92,26 @@ def test_components_of_a_long_chain(spark):
     }
 
 
+def test_components_of_few_links_and_of_many_are_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    edges = spark.createDataFrame([*links, (1, 2), (1, 2)], "a long, b long")
+    seen = []
+    large_star = component_rounds._large_star
+    monkeypatch.setattr(component_rounds, "_large_star", lambda e, few: seen.append(few) or large_star(e, few))
+    few = {r.node: r.component for r in components(edges).collect()}
+    monkeypatch.setattr(component_rounds, "_FEW", 10)
+    many = {r.node: r.component for r in components(edges).collect()}
+    assert few == many
+    assert True in seen and False in seen
+
+
+def test_marks_at_the_end_of_tokens(spark):
+    text = "a... ... (x) \U0001f600! .a ?! b.c. 5 km. 'd' \u00e9,\n!"
+    got = spark.range(1).select(decontaminate.canonical_tokens(F.lit(text)).alias("t")).first().t
+    assert got == ["a", ".", "(x", "\U0001f600", ".a", "?", "b.c", "<num>", "<unit>", "'d", "\u00e9", "!"]
+
+
 ITEM = "A train with Anna covers 120 km in 3 hours before it stops near the old bridge by the river"
 
 
