@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from .stage import release, ship
 
 _REMEMBER = 1 << 18  # pre-tokens of a generation; there are two
-_KEPT = 1 << 16  # pre-tokens that a worker keeps between tasks
+_KEPT = 1 << 18  # pre-tokens that a worker keeps between tasks
 _SHORT = 64  # bytes of a pre-token worth remembering
 _TEXT = 1 << 20  # bytes of text that are encoded and sent on together, or a longer one alone
 _BUFFER = 1 << 18  # bytes of pre-tokens that are merged together, or a longer one alone
@@ -275,10 +275,11 @@ class Codec:
         return out
 
     def forget(self) -> None:
-        """Keep only the pre-tokens that came first, which are the frequent ones: a worker that
-        waits, or does other work, holds no more than these."""
-        self._before = {}
-        self._recent = dict(islice(self._recent.items(), _KEPT))
+        """Keep the pre-tokens of the last generation, those that came first, which are the frequent
+        ones, and fill up with the one before: a worker that waits, or does other work, holds no
+        more than these."""
+        known = chain(self._recent.items(), self._before.items())
+        self._recent, self._before = dict(islice(known, _KEPT)), {}
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]

@@ -82,6 +82,17 @@ def test_bpe_of_long_pre_tokens(codec, known, t):
     assert codec.encode(None) == []
 
 
+def test_a_worker_keeps_both_generations_of_pretokens_between_tasks(codec, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_REMEMBER", 3)
+    monkeypatch.setattr(byte_bpe, "_KEPT", 4)
+    small = byte_bpe.Codec(codec.ranks, codec.pattern)
+    before = small.encode_all(["qzx wvk jjh", "uuy ppo"])  # known together
+    small.encode_all(["zzk"])
+    small.forget()
+    assert len(small._recent) == 4 and not small._before and "zzk" in small._recent
+    assert small.encode_all(["qzx wvk jjh", "uuy ppo"]) == before
+
+
 def test_bpe_of_many_texts_and_a_small_memory(codec, known, monkeypatch):
     """Pre-tokens side by side in one buffer, forgotten again and again."""
     monkeypatch.setattr(byte_bpe, "_REMEMBER", 50)
