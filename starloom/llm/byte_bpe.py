@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .stage import release, ship
+from .stage import left, release, ship
 
 _REMEMBER = 1 << 18  # pre-tokens of a generation; there are two
 _KEPT = 1 << 18  # pre-tokens that a worker keeps between tasks
@@ -288,14 +288,13 @@ class Codec:
         return b"".join(map(self._tokens.__getitem__, ids))
 
 
-_codecs: list[Codec] = []
+_NAME = "byte_bpe"
 
 
 def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
-    """This worker's codec; the tasks it runs share what it remembers."""
-    if not _codecs or _codecs[0].pattern != pattern or _codecs[0].ranks != ranks:
-        _codecs[:] = [Codec(ranks, pattern)]
-    return _codecs[0]
+    """This worker's codec; the tasks it runs share what it remembers, until another operator's
+    task runs here."""
+    return left(_NAME, lambda c: c.pattern == pattern and c.ranks == ranks, lambda: Codec(ranks, pattern))
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -330,7 +329,7 @@ def _coded(docs: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, ke
         finally:
             codec.forget()
             gc.enable()
-            release()
+            release(_NAME)
 
     chosen = [F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)]
     found = docs.select(*chosen, F.col(f"`{text}`").alias("t"))

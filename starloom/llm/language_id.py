@@ -186,6 +186,7 @@ def predictor(docs: DataFrame, model: Model, text: str = "text") -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in texts:
             yield score(batch, sent.value)
         release()

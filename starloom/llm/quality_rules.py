@@ -39,6 +39,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 def _measured(text: Column) -> Column:
     @F.pandas_udf(", ".join(f"{c} long" for c in MEASURES))
     def each(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in texts:
             yield pd.DataFrame([measures(t) for t in batch], columns=MEASURES, dtype="int64")
         release()

@@ -16,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starloom.llm import byte_bpe, chat_format, html_text, language_id, quality_classifier
-from starloom.llm import quality_rules, sharding, text
+from starloom.llm import quality_rules, sharding, stage, text
 from starloom.llm.queries import ranks
 
 WORDS = st.text(alphabet="ab é\n\t#.\x0b\x85\xa0", max_size=60)
@@ -93,6 +93,15 @@ def test_a_worker_keeps_both_generations_of_pretokens_between_tasks(codec, monke
     assert small.encode_all(["qzx wvk jjh", "uuy ppo"]) == before
 
 
+def test_a_worker_drops_its_codec_when_another_operator_runs_there(codec):
+    own = byte_bpe._codec(codec.ranks, codec.pattern)
+    stage.release("byte_bpe")
+    assert byte_bpe._codec(dict(codec.ranks), codec.pattern) is own  # the next task goes on with it
+    assert byte_bpe._codec(codec.ranks, codec.pattern + "|x") is not own
+    stage.release()  # as tasks of the operators of whole texts do
+    assert not stage._left
+
+
 def test_bpe_of_many_texts_and_a_small_memory(codec, known, monkeypatch):
     """Pre-tokens side by side in one buffer, forgotten again and again."""
     monkeypatch.setattr(byte_bpe, "_REMEMBER", 50)
