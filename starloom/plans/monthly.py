@@ -9,6 +9,9 @@ A load replaces the months it has arrivals of, and leaves the others as they are
 Dimensions come first, so no fact row ever lacks one. Each step gives the same tables if it is
 run again, after a failure or for a month that is delivered anew. Months are the values of
 the fact sink's partition columns; loads into one star run one at a time.
+
+Arrivals of many loads are best stored by month first (``by_month``): the rows of a month are
+then brought together once, and a load reads its own months and writes them without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from starloom.plans.dimensions import keys_of_all
 from starloom.plans.star import build_dimension, dimension_keys, fact_table
-from starloom.scratch import settle_all
+from starloom.scratch import scratch_folder, settle_all
 from starloom.sources.publish import Files, publish, recover
 from starloom.sources.sink import table_path, write_table
 from starloom.specs import SinkSpec, StarSpec
@@ -34,16 +37,27 @@ def monthly_sinks(sinks: Mapping[str, SinkSpec]) -> dict[str, SinkSpec]:
     return dict(sinks) | {"fact": replace(sinks["fact"], partition_by=MONTH)}
 
 
+def by_month(arrivals: DataFrame) -> DataFrame:
+    """``settle`` for arrivals of many months: written by month, so conditions on the month
+    choose the files that are read."""
+    spark = arrivals.sparkSession
+    path = write_table(arrivals, SinkSpec(scratch_folder(spark), "arrivals", MONTH))
+    columns = [F.col(f"`{c}`") for c in arrivals.columns]
+    return spark.read.schema(arrivals.schema).parquet(path).select(*columns)
+
+
 def load_months(
     arrivals: DataFrame,
     sources: Mapping[str, DataFrame],
     spec: StarSpec,
     sinks: Mapping[str, SinkSpec],
+    together: bool = False,
 ) -> dict[str, DataFrame]:
     """Load cleaned arrivals of whole months; returns the star as written.
 
     ``sources`` are the cleaned other sources. The arrivals are read twice, for their keys
-    and for the fact: pass written ones.
+    and for the fact: pass written ones. ``together`` says that the rows of a month lie
+    together, as in arrivals from ``by_month``; the fact is then written without a shuffle.
     """
     spark = arrivals.sparkSession
     for folder in {sink.path for sink in sinks.values()}:
@@ -53,7 +67,7 @@ def load_months(
     merged = {name: _merged(name, df, spec, sinks[name]) for name, df in new.items()}
     star = publish(merged, sinks)
     fact = fact_table(arrivals, spec)
-    path = write_table(fact, sinks["fact"], replace="partitions")
+    path = write_table(fact, sinks["fact"], replace="partitions", gather=not together)
     columns = [F.col(f"`{c}`") for c in fact.columns]
     star["fact"] = spark.read.schema(fact.schema).parquet(path).select(*columns)
     return star

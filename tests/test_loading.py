@@ -238,6 +238,47 @@ def test_a_month_delivered_anew_replaces_its_rows_only(spark, sources, tmp_path)
     assert tuples(star["fact"], "cicid") == [(1,), (2,), (4,), (5,)]
 
 
+def test_loads_of_months_stored_together_move_no_fact_rows(spark, sources, tmp_path, monkeypatch):
+    sinks = monthly.monthly_sinks({n: SinkSpec(str(tmp_path), t, by) for n, (t, by) in SINKS.items()})
+    undated = sources["arrivals"].where("cicid = 1").withColumns({"cicid": F.lit(6), "i94mon": F.lit(None).cast("int")})
+    arrivals = sources["arrivals"].unionByName(undated)
+    stored = monthly.by_month(arrivals)
+    assert stored.schema == arrivals.schema
+    assert tuples(stored) == tuples(arrivals)
+    scans = []
+
+    def seen(df, *args, **how):
+        scans.append((plan(df), how["gather"]))
+        return write_table(df, *args, **how)
+
+    monkeypatch.setattr(monthly, "write_table", seen)
+    late = F.coalesce(F.col("i94mon") > 1, F.lit(False))
+    for part in (~late, late, late):
+        loaded = monthly.load_months(stored.where(part), sources, SPEC, sinks, together=True)
+    assert all("PartitionFilters: [" in text and "PartitionFilters: []" not in text for text, _ in scans)
+    assert not any("Exchange" in text or gather for text, gather in scans)
+    whole = star_plan.build_star(sources | {"arrivals": arrivals}, SPEC)
+    for name, df in whole.items():
+        assert tuples(loaded[name], *df.columns) == tuples(df, *df.columns), name
+
+
+@pytest.mark.parametrize("gather", [True, False])
+def test_ungathered_rows_are_written_by_the_tasks_that_have_them(spark, tmp_path, gather):
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(option, None)
+    df = spark.range(0, 400, 1, 4).selectExpr("id", "id % 2 as k")
+    path = write_table(df, SinkSpec(str(tmp_path), "t", ["k"]), gather=gather)
+    assert len(list((tmp_path / "t").glob("k=*/*.parquet"))) == (2 if gather else 8)
+    assert sorted(tuples(spark.read.parquet(path), "id", "k")) == sorted((i, i % 2) for i in range(400))
+    assert spark.conf.get(option, None) == before
+
+
+def test_more_partition_values_than_writers(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 2).selectExpr("id", "id % 90 as k")
+    path = write_table(df, SinkSpec(str(tmp_path), "t", ["k"]), gather=False)
+    assert sorted(tuples(spark.read.parquet(path), "id", "k")) == [(i, i % 90) for i in range(4000)]
+
+
 def test_replace_is_table_or_partitions(spark, tmp_path):
     with pytest.raises(ValueError, match="table or partitions"):
         write_table(spark.range(1), SinkSpec(str(tmp_path), "t"), replace="rows")
