@@ -61,7 +61,7 @@ class Spec:
 
 
 def raw_tokens(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def _fold(text: Column) -> Column:
@@ -69,32 +69,40 @@ def _fold(text: Column) -> Column:
     return F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
 
 
-def _numbered(text: Column) -> Column:
-    units = "|".join(UNITS)
-    out = F.regexp_replace(text, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<num>")
-    return F.regexp_replace(out, rf"(?i)(?<=<num>\s)(?:{units})(?=[.,;:!?)]*(?:\s|\z))", "<unit>")
+# The patterns of whole tokens go on from the last match (``\G``) over the tokens between,
+# which they keep: looking behind at each character takes several times as long.
 
 
-def _forms(numbered: Column) -> list[Column]:
-    """The canonical and the folded tokens of a text with its numbers replaced."""
-    named = F.regexp_replace(numbered, r"(?<!\S)[^\s\p{L}<]*+\p{Lu}\S*+", "<name>")
+def _plain(text: Column) -> Column:
+    """The text with its numbers and units replaced, without the punctuation at tokens' ends."""
+    units = "|".join(UNITS)
+    out = F.regexp_replace(text, r"\G((?:[^\s0-9]*+\s)*+)[^\s0-9]*+[0-9]\S*+", "$1<num>")
+    out = F.regexp_replace(out, rf"(?i)(<num>\s)(?:{units})(?=[.,;:!?)]*(?:\s|\z))", "$1<unit>")
     # the marks first, so that only they are looked behind
-    end = r"[.,;:!?)\"'](?<=\S.)[.,;:!?)\"']*+(?=\s|\z)"
-    return [
-        raw_tokens(F.lower(F.regexp_replace(named, end, ""))),
-        raw_tokens(_fold(F.regexp_replace(numbered, end, ""))),
-    ]
+    return F.regexp_replace(out, r"[.,;:!?)\"'](?<=\S.)[.,;:!?)\"']*+(?=\s|\z)", "")
+
+
+def _named(plain: Column) -> Column:
+    other = r"[^\s\p{L}<]*+(?:[\p{L}<&&[^\p{Lu}]]\S*+)?+\s"
+    return F.regexp_replace(plain, rf"\G((?:{other})*+)[^\s\p{{L}}<]*+\p{{Lu}}\S*+", "$1<name>")
+
+
+def _canonical(plain: Column) -> Column:
+    return raw_tokens(F.lower(_named(plain)))
 
 
 def canonical_tokens(text: Column) -> Column:
     """As many tokens as ``raw_tokens`` gives."""
-    return _forms(_numbered(text))[0]
+    return _canonical(_plain(text))
 
 
-def _both(text: Column, name: str) -> Column:
-    """Generator of ``folded`` (0 or 1) and the tokens of that form."""
-    forms = _let(_numbered(text), lambda numbered: F.array(*_forms(numbered)))
-    return F.posexplode(forms).alias("folded", name)
+def _by_form(df: DataFrame, name: str) -> DataFrame:
+    """Two rows for one: ``folded`` (0 or 1) and the tokens of ``text`` in that form."""
+    plain = F.col("_plain")
+    forms = F.array(_canonical(plain), raw_tokens(_fold(plain)))
+    return df.withColumn("_plain", _plain(F.col("text"))).select(
+        *df.columns, F.posexplode(forms).alias("folded", name)
+    )
 
 
 def _let(value: Column, body) -> Column:
@@ -102,48 +110,33 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _paired(left: Column, right: Column, shift: int) -> Column:
-    """Hashes of ``left[i]`` and ``right[i + shift]``; those at the end lack a partner."""
-    moved = F.slice(right, F.lit(shift + 1), F.greatest(F.size(right) - shift, F.lit(0)))
-    return F.zip_with(left, moved, lambda a, b: F.xxhash64(a, b))
+def _window(tokens: Column, at: Column, spec: Spec) -> Column:
+    """Hash of the window that starts ``at`` tokens from the first."""
+    return F.xxhash64(F.slice(tokens, at + 1, F.lit(spec.window)))
 
 
 def _windows(tokens: Column, spec: Spec) -> Column:
-    """Hashes of the windows, in order.
+    """Hashes of the windows, in order."""
+    last = F.size(tokens) - spec.window
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last))
+    return F.transform(starts, lambda at: _window(tokens, at, spec))
 
-    Windows of 2, 4, 8 ... tokens are made of two of half their length, and these
-    make up the window: each token is hashed a few times, however long the window is.
-    """
 
-    def widen(level: Column, span: int, built: Column | None, length: int) -> Column:
-        # ``level``: hashes of windows of ``span`` tokens; ``built``: of ``length`` tokens
-        if spec.window & span:
-            if built is None:
-                return deeper(level, span, level, span)
-            return _let(_paired(built, level, length), lambda b: deeper(level, span, b, length + span))
-        return deeper(level, span, built, length)
-
-    def deeper(level: Column, span: int, built: Column | None, length: int) -> Column:
-        if length == spec.window:
-            return built
-        return _let(
-            _paired(level, level, span), lambda up: widen(up, 2 * span, built, length)
-        )
-
-    count = F.size(tokens) - (spec.window - 1)
-    hashes = F.transform(tokens, lambda t: F.xxhash64(t))
-    every = _let(hashes, lambda h: widen(h, 1, None, 0))
-    return F.when(count > 0, F.slice(every, F.lit(1), count))
-
-
-def _window_pairs(text: Column, spec: Spec) -> Column:
-    """Windows of both forms: those of the canonical one at even places, folded ones at odd."""
+def _text_windows(texts: DataFrame, spec: Spec) -> DataFrame:
+    """``key, folded, pos, hash`` of each window. Rows of single tokens and no lambda functions:
+    Spark compiles these steps, the join that follows included, and interprets lambda functions."""
+    tokens = F.col("tokens")
+    return (
+        _by_form(texts, "tokens")
+        .select("key", "folded", "tokens", F.posexplode(tokens).alias("pos", "token"))
+        .where(F.col("pos") <= F.size(tokens) - spec.window)
+        .select("key", "folded", "pos", _of_form(_window(tokens, F.col("pos"), spec)).alias("hash"))
+    )
 
-    def pairs(numbered: Column) -> Column:
-        named, folded = (_let(f, lambda tokens: _windows(tokens, spec)) for f in _forms(numbered))
-        return F.flatten(F.zip_with(named, folded, lambda a, b: F.array(a, b)))
 
-    return _let(_numbered(text), pairs)
+def _of_form(hashed: Column) -> Column:
+    """One key for window and form."""
+    return F.xxhash64(hashed, F.col("folded"))
 
 
 def _is_slot(token: Column) -> Column:
@@ -156,7 +149,7 @@ def _templates(items: DataFrame, spec: Spec) -> DataFrame:
         items.select("item", "folded", "tokens", F.posexplode(_windows(F.col("tokens"), spec)))
         .withColumn("own", F.slice("tokens", F.col("pos") + 1, spec.window))
         .where(F.size(F.filter("own", lambda t: ~_is_slot(t))) >= spec.literals)
-        .select(F.col("col").alias("hash"), "item", "folded", F.col("pos").alias("at"))
+        .select(_of_form(F.col("col")).alias("hash"), "item", "folded", F.col("pos").alias("at"))
     )
 
 
@@ -256,20 +249,19 @@ def find_leaks(
 ) -> DataFrame:
     """Per leaked item and document: ``key, item, n_matched, n_item_tokens, exact``."""
     tables = Tables(docs.sparkSession)
-    items = tables.write(
+    sought = (
         benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
         .where("item is not null and text is not null")
         .distinct()
-        .select("item", "text", raw_tokens(F.col("text")).alias("raw"), _both(F.col("text"), "tokens")),
-        "items",
+        .withColumn("raw", raw_tokens(F.col("text")))
     )
+    items = tables.write(_by_form(sought, "tokens"), "items")
     templates = tables.write(_templates(items, spec), "templates")
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
-    windows = own.select("key", F.posexplode(_window_pairs(F.col("text"), spec)).alias("pos", "hash"))
     hits = (
-        windows.join(templates, "hash")
-        .where(F.col("pos") % 2 == F.col("folded"))
-        .select("key", "item", "folded", (F.floor(F.col("pos") / 2) - F.col("at")).cast("int").alias("shift"), "at")
+        _text_windows(own, spec).select("key", "pos", "hash")
+        .join(templates, "hash")
+        .select("key", "item", "folded", (F.col("pos") - F.col("at")).alias("shift"), "at")
         .groupBy("key", "item", "folded", "shift")
         .agg(F.collect_set("at").alias("starts"))  # at most as many as the item has windows
     )
@@ -284,11 +276,12 @@ def find_leaks(
     texts = own.join(
         hits.select(F.col("key").alias("hit")).distinct(), F.col("key").eqNullSafe(F.col("hit")), "left_semi"
     )
-    texts = texts.select(
+    texts = _by_form(texts, "doc_tokens").select(
         F.col("key").alias("own"),
         raw_tokens(F.col("text")).alias("doc_raw"),
-        _both(F.col("text"), "doc_tokens"),
-    ).withColumnRenamed("folded", "form")
+        "doc_tokens",
+        F.col("folded").alias("form"),
+    )
 
     def at(array: str, position: Column) -> Column:
         return F.try_element_at(F.col(array), (position + 1).cast("int"))

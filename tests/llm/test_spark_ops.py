@@ -2,6 +2,7 @@
 
 import io
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -180,6 +181,47 @@ def test_windows_hash_equal_tokens_equally(spark):
         assert len({*zip(hashes, want, strict=True)}) == len(set(want))
 
 
+def plain_canonical(text):
+    """Token by token, as the module's docstring says."""
+    out = []
+    for token in text.split():
+        bare = token[0] + token[1:].rstrip(".,;:!?)\"'")
+        first = next((c for c in token if c == "<" or unicodedata.category(c)[0] == "L"), "")
+        if any("0" <= c <= "9" for c in token):
+            out.append("<num>")
+        elif out and out[-1] == "<num>" and token.rstrip(".,;:!?)").lower() in decontaminate.UNITS:
+            out.append("<unit>")
+        elif first and unicodedata.category(first) == "Lu":
+            out.append("<name>")
+        else:
+            out.append(bare.lower())
+    return out
+
+
+def test_canonical_tokens_of_any_text(spark):
+    rng = random.Random(7)
+    tokens = ["a", "Ab", "x9Y,", "3", "4.5", "km", "KM,", "Min.", "s)", "m'", "<b>Foo", "a<B", "'Anna", '"Eva,"', "--A",
+              "...", "!?", ".", "<name>", "\u00c9", "\u00e9.", "\u00df", "\u6c34", "\u0663", "$1", "\\", "\U0001f600"]
+    texts = [rng.choice(["", " ", "\n"]) + " ".join(rng.choices(tokens, k=k % 25)) + rng.choice(["", "\t "]) for k in range(500)]
+    texts += ["word " * 200_000, "9" * 300_000, "A" * 300_000, " " * 300_000]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decontaminate.canonical_tokens(F.col("t")))
+    assert all(got == plain_canonical(t) for t, got in rows.collect())
+
+
+def test_windows_of_texts_are_compiled(spark, monkeypatch):
+    plans, write = {}, decontaminate.Tables.write
+
+    def seen(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, name)
+
+    monkeypatch.setattr(decontaminate.Tables, "write", seen)
+    benchmark = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    got = decontaminate.find_leaks(docs_of(spark, [(1, f"so {ITEM}", "en"), (2, "x", "en")]), benchmark).collect()
+    assert [(r.doc_id, r.item_id, r.exact) for r in got] == [(1, 7, True)]
+    assert "Generate" in plans["hits"] and "lambda" not in plans["hits"]
+
+
 def test_bpe_and_digests_of_awkward_rows(spark):
     ranks = {bytes([i]): i for i in range(256)} | {b"sa": 256, b"sam": 257}
     got = byte_bpe.encode(docs_of(spark, AWKWARD), ranks, r"\S+|\s+").collect()
