@@ -85,6 +85,53 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert near_dedup.near_duplicates(docs_of(spark, AWKWARD).limit(0)).count() == 0
 
 
+def test_lists_that_hang_together_are_not_compared_as_one(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):  # texts that share words with the next ones only
+        words = rng.sample([f"w{2 * i + j}" for j in range(40)], 25)
+        rows.append((i, " ".join(words), "en"))
+        if i % 20 == 0:
+            rows.append((1000 + i, " ".join(words[1:]), "en"))
+    work = []
+    dealt = near_dedup._dealt
+
+    def counted(members, block):
+        of = members.groupBy("crowd").agg((F.count(F.lit(1)) * F.count_if("open")).alias("n"))
+        work.append(of.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        return dealt(members, block)
+
+    monkeypatch.setattr(near_dedup, "_dealt", counted)
+    spec = near_dedup.Spec(words=1, crowd=2)
+    got = near_dedup.near_duplicates(docs_of(spark, rows), spec=spec).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_groups(rows, 1)
+    assert 0 < sum(work) < len(rows) ** 2 / 5
+
+
+def test_crowds_are_cut_without_loss(spark, monkeypatch):
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(16)]
+    rows = []
+    for f in range(12):  # families that share half of their words, and texts of a few of these
+        base = common + [f"b{f}_{i}" for i in range(14)]
+        for i in range(9):
+            words = [w if rng.random() > 0.06 else f"n{f}_{i}_{rng.randrange(99)}" for w in base]
+            rows.append((100 * f + i, " ".join(words), "en"))
+        rows += [(100 * f + 50 + i, " ".join(rng.sample(common, rng.choice([5, 6]))), "en") for i in range(5)]
+    depths = []
+    share = near_dedup._alike
+
+    def seen(members, spec):
+        depths.extend(r.depth for r in members.select("depth").distinct().collect())
+        return share(members, spec)
+
+    monkeypatch.setattr(near_dedup, "_alike", seen)
+    spec = near_dedup.Spec(words=1, crowd=2, block=2)
+    got = near_dedup.near_duplicates(docs_of(spark, rows), spec=spec).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_groups(rows, 1)
+    assert max(depths) > 1
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 103), (103, 101), (7, 7)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
